@@ -12,12 +12,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.space import fits_broadcast
+from ..sources.space import fits_broadcast, hadoop_path, path_exists
 from .documents import RECORD_KEY
 from .schema import UPDATED, evolved_schema
 
@@ -132,12 +131,10 @@ class Corpus:
     # --- commits ---------------------------------------------------------
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits")
-        except AnalysisException as err:
-            if err.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        log = f"{self.path}/commits"
+        if not path_exists(self.spark, log):
+            return None
+        return self.spark.read.schema(_COMMITS).json(log)
 
     def _last(self) -> T.Row | None:
         commits = self._commits()
@@ -269,11 +266,8 @@ class Corpus:
             .collect()
         )
         kept = {r["folder"].rsplit("/", 1)[1] for r in recent}
-        jvm = self.spark._jvm
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         for name in ("snapshots", "staged"):
-            root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            fs = root.getFileSystem(conf)
+            fs, root = hadoop_path(self.spark, f"{self.path}/{name}")
             if not fs.exists(root):
                 continue
             for status in fs.listStatus(root):

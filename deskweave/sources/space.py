@@ -32,6 +32,17 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/deskweave/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any URI Spark can write to."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jvm_path = hadoop_path(spark, path)
+    return fs.exists(jvm_path)
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when `df` has at most `max_rows` rows; counts no further than that."""
     return df.limit(max_rows + 1).count() <= max_rows
