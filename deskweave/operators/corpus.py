@@ -1,10 +1,10 @@
-"""The keyed corpus: latest version per key, column-wise upsert, snapshots.
+"""The keyed corpus: latest version per key, column-wise upsert, stored as Parquet.
 
-A corpus is a folder of immutable Parquet snapshots and a log of one-row JSON
-commits. The newest commit names the snapshot to read and the schema to read it
-with, so readers never see a half-written table, a killed writer leaves no trace but
-an unnamed folder, and a schema can grow without touching data. One writer at a
-time. Where a table format with MERGE INTO is at hand it can take this place.
+A corpus is a set of immutable Parquet folders and a log of one-row JSON commits. The
+newest commit names the folders to read and the schema to read them with, so readers
+never see a half-written table, a killed writer leaves no trace but an unnamed
+folder, and a schema can grow without touching data. One writer at a time. Where a
+table format with MERGE INTO is at hand it can take this place.
 """
 
 from __future__ import annotations
@@ -16,11 +16,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.space import fits_broadcast, hadoop_path, path_exists
+from ..sources.space import BROADCAST_ROWS, fits_broadcast, hadoop_path, path_exists
 from .documents import RECORD_KEY
 from .schema import UPDATED, evolved_schema
 
-_COMMITS = "seq bigint, folder string, schema string, txn string, rows bigint"
+_COMMITS = (
+    "seq bigint, base string, deltas array<string>, delta_rows bigint, "
+    "empty boolean, schema string, txn string"
+)
+_SEQ = "_seq"
 
 
 def latest_per_key(
@@ -51,46 +55,69 @@ def key_collisions(documents: DataFrame) -> DataFrame:
     )
 
 
-def merge_versions(
-    stored: DataFrame, incoming: DataFrame, key: str = "id", updated: str = UPDATED
-) -> DataFrame:
-    """Column-wise upsert of rows that are unique by key on both sides.
+def _paired(stored: DataFrame, incoming: DataFrame, key: str, updated: str, how: str) -> DataFrame:
+    """Stored and incoming rows side by side, with a `takes_new` decision.
 
-    The incoming version is taken unless the stored one is dated and newer. Of a
-    taken version every supplied column is used, nulls included; columns that were
-    not supplied keep the stored value.
+    The incoming version is taken unless the stored one is dated and newer. Columns
+    are renamed, not packed into structs, so that unused ones are pruned at the scan.
     """
-    old = stored.select(
-        F.struct("*").alias("old"), F.col(key).alias(key), F.lit(True).alias("in_old")
-    )
+    old = stored.select(*[F.col(c).alias(c if c == key else f"old_{c}") for c in stored.columns])
     new = incoming.select(
-        F.struct("*").alias("new"), F.col(key).alias(key), F.lit(True).alias("in_new")
+        *[F.col(c).alias(c if c == key else f"new_{c}") for c in incoming.columns]
+    )
+    both = new.withColumn("in_new", F.lit(True)).join(
+        old.withColumn("in_old", F.lit(True)), key, how
     )
-    both = old.join(new, key, "full_outer")
     wins = F.lit(True)
     if updated in incoming.columns and updated in stored.columns:
-        newer = F.col(f"new.{updated}") >= F.col(f"old.{updated}")
-        wins = F.col(f"old.{updated}").isNull() | F.coalesce(newer, F.lit(False))
+        newer = F.col(f"new_{updated}") >= F.col(f"old_{updated}")
+        wins = F.col(f"old_{updated}").isNull() | F.coalesce(newer, F.lit(False))
     is_new, is_old = F.col("in_new").isNotNull(), F.col("in_old").isNotNull()
-    take_new = is_new & (~is_old | wins)
-    decided = both.withColumn("take_new", take_new)
-    supplied = set(incoming.columns)
+    return both.withColumn("takes_new", is_new & (~is_old | wins))
+
+
+def _all_columns(stored: DataFrame, incoming: DataFrame) -> list[str]:
+    return stored.columns + [c for c in incoming.columns if c not in stored.columns]
+
+
+def merge_versions(
+    stored: DataFrame, incoming: DataFrame, key: str = "id", updated: str = UPDATED
+) -> DataFrame:
+    """Column-wise upsert of rows that are unique by key on both sides.
+
+    Of a taken version every supplied column is used, nulls included; columns that
+    were not supplied keep the stored value.
+    """
+    both = _paired(stored, incoming, key, updated, "full_outer")
 
     def pick(name: str) -> Column:
         if name == key:
             return F.col(key)
-        if name not in supplied:
-            return F.col(f"old.{name}").alias(name)
-        if name not in stored.columns:
-            return F.when(F.col("take_new"), F.col(f"new.{name}")).alias(name)
-        return (
-            F.when(F.col("take_new"), F.col(f"new.{name}"))
-            .otherwise(F.col(f"old.{name}"))
-            .alias(name)
-        )
+        old = F.col(f"old_{name}") if name in stored.columns else F.lit(None)
+        if name not in incoming.columns:
+            return old.alias(name)
+        return F.when(F.col("takes_new"), F.col(f"new_{name}")).otherwise(old).alias(name)
+
+    return both.select(*[pick(name) for name in _all_columns(stored, incoming)])
+
+
+def winning_versions(
+    stored: DataFrame, incoming: DataFrame, key: str = "id", updated: str = UPDATED
+) -> DataFrame:
+    """Only the incoming rows that are taken, completed with stored values.
+
+    When all columns are supplied, only key and update time of the stored rows are
+    read.
+    """
+    both = _paired(stored, incoming, key, updated, "left").where("takes_new")
+
+    def pick(name: str) -> Column:
+        if name == key:
+            return F.col(key)
+        side = "new" if name in incoming.columns else "old"
+        return F.col(f"{side}_{name}").alias(name)
 
-    names = stored.columns + [c for c in incoming.columns if c not in stored.columns]
-    return decided.select(*[pick(name) for name in names])
+    return both.select(*[pick(name) for name in _all_columns(stored, incoming)])
 
 
 def upsert_rows(stored: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
@@ -123,18 +150,32 @@ def _shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 class Corpus:
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """A keyed table at `path`.
+
+    A run adds its winning rows as a delta folder, so it writes in proportion to what
+    changed. Once the deltas would hold more than `max_delta_rows` rows, the run
+    writes a new base instead. The bound keeps the delta keys, which readers broadcast
+    to hide superseded base rows, small.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        max_delta_rows: int = BROADCAST_ROWS,
+    ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.declared = schema
+        self.max_delta_rows = max_delta_rows
 
     # --- commits ---------------------------------------------------------
 
     def _commits(self) -> DataFrame | None:
-        log = f"{self.path}/commits"
-        if not path_exists(self.spark, log):
+        if not path_exists(self.spark, f"{self.path}/commits"):
             return None
-        return self.spark.read.schema(_COMMITS).json(log)
+        return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits/*")
 
     def _last(self) -> T.Row | None:
         commits = self._commits()
@@ -143,16 +184,18 @@ class Corpus:
         return commits.agg(F.max_by(F.struct("*"), "seq").alias("last")).first()["last"]
 
     def _commit(
-        self, seq: int, folder: str, schema: T.StructType, txn: str | None, rows: int | None
+        self,
+        seq: int,
+        schema: T.StructType,
+        base: str,
+        deltas: Sequence[str] = (),
+        delta_rows: int = 0,
+        empty: bool = False,
+        txn: str | None = None,
     ) -> None:
-        row = self.spark.range(1).select(
-            F.lit(seq).cast("bigint").alias("seq"),
-            F.lit(folder).alias("folder"),
-            F.lit(schema.json()).alias("schema"),
-            F.lit(txn).cast("string").alias("txn"),
-            F.lit(rows).cast("bigint").alias("rows"),
-        )
-        row.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        row = (seq, base, list(deltas), delta_rows, empty, schema.json(), txn)
+        log = self.spark.createDataFrame([row], _COMMITS).coalesce(1)
+        log.write.mode("append").json(f"{self.path}/commits/c{seq}")
 
     def has(self, txn: str | None) -> bool:
         """True when a write with this id was committed before."""
@@ -169,15 +212,18 @@ class Corpus:
     def ensure(self) -> None:
         """Create an empty corpus when there is none, otherwise do nothing."""
         if not self.exists():
-            self._write(self.spark.createDataFrame([], self.declared), 0, None, 0)
+            self._start(0)
 
     def recreate(self, confirmed: bool = False) -> None:
         """Start over with an empty corpus; the data are lost to readers."""
         if not confirmed:
             raise ValueError("recreate drops all documents: pass confirmed=True")
         last = self._last()
-        seq = 0 if last is None else last["seq"] + 1
-        self._write(self.spark.createDataFrame([], self.declared), seq, None, 0)
+        self._start(0 if last is None else last["seq"] + 1)
+
+    def _start(self, seq: int) -> None:
+        nothing = self.spark.createDataFrame([], self.declared)
+        self._write_base(nothing, seq, self.declared, empty=True)
 
     def evolve(self, schema: T.StructType) -> None:
         """Add fields. Old rows read null there until they are written again."""
@@ -188,9 +234,12 @@ class Corpus:
             return
         grown = evolved_schema(self._schema_of(last), schema)
         self.declared = grown
-        self._commit(last["seq"] + 1, last["folder"], grown, None, last["rows"])
+        self._commit(
+            last["seq"] + 1, grown, last["base"], last["deltas"], last["delta_rows"], last["empty"]
+        )
 
-    def _schema_of(self, commit: T.Row) -> T.StructType:
+    @staticmethod
+    def _schema_of(commit: T.Row) -> T.StructType:
         return T.StructType.fromJson(json.loads(commit["schema"]))
 
     def read(self) -> DataFrame:
@@ -200,16 +249,30 @@ class Corpus:
         return self._read(last)
 
     def _read(self, commit: T.Row) -> DataFrame:
-        # reading with the logged schema fills fields older files do not have
-        return self.spark.read.schema(self._schema_of(commit)).parquet(
-            f"{self.path}/{commit['folder']}"
-        )
-
-    def _write(self, rows: DataFrame, seq: int, txn: str | None, count: int | None) -> None:
-        folder = f"snapshots/s{seq}"
-        schema = rows.schema
-        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        self._commit(seq, folder, schema, txn, count)
+        # reading with the logged schema fills fields that older files do not have
+        schema = self._schema_of(commit)
+        base = self.spark.read.schema(schema).parquet(f"{self.path}/{commit['base']}")
+        if not commit["deltas"]:
+            return base
+        with_seq = T.StructType(schema.fields + [T.StructField(_SEQ, T.LongType())])
+        folders = [f"{self.path}/{d}" for d in commit["deltas"]]
+        changes = self.spark.read.schema(with_seq).parquet(*folders)
+        # at most max_delta_rows keys, counted when the deltas were written
+        keys = F.broadcast(changes.select("id").distinct())
+        newest = latest_per_key(changes, order=[F.col(_SEQ).desc()]).drop(_SEQ)
+        return base.join(keys, "id", "left_anti").unionByName(newest)
+
+    def _write_base(
+        self,
+        rows: DataFrame,
+        seq: int,
+        schema: T.StructType,
+        empty: bool = False,
+        txn: str | None = None,
+    ) -> None:
+        folder = f"base/s{seq}"
+        _shaped(rows, schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        self._commit(seq, schema, folder, empty=empty, txn=txn)
 
     def upsert(
         self, documents: DataFrame, txn: str | None = None, unique: bool = False
@@ -230,46 +293,54 @@ class Corpus:
         seen = Observation()
         newest = documents if unique else latest_per_key(documents)
         newest = newest.observe(seen, F.count(F.lit(1)).alias("rows"))
-        supplied = [f for f in schema.fields if f.name in documents.columns]
-        staged_path = f"{self.path}/staged/s{seq}"
-        staged = _shaped(newest, T.StructType(supplied))
-
-        if last["rows"] == 0:
-            folder = f"snapshots/s{seq}"
-            _shaped(staged, schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        if last["empty"]:
+            folder = f"base/s{seq}"
+            _shaped(newest, schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
             count = seen.get["rows"]
-            self._commit(seq, folder, schema, txn, None if count else 0)
+            self._commit(seq, schema, folder, empty=count == 0, txn=txn)
             return count
 
-        staged.write.mode("overwrite").parquet(staged_path)
+        supplied = T.StructType([f for f in schema.fields if f.name in documents.columns])
+        staged = f"{self.path}/staged/s{seq}"
+        _shaped(newest, supplied).write.mode("overwrite").parquet(staged)
         count = seen.get["rows"]
+        incoming = self.spark.read.schema(supplied).parquet(staged)
+        stored = self._read(last)
+        delta_rows = last["delta_rows"] + count
+        if delta_rows > self.max_delta_rows:
+            self._write_base(upsert_rows(stored, incoming), seq, schema, txn=txn)
+            return count
+        deltas = list(last["deltas"])
         if count:
-            incoming = self.spark.read.schema(T.StructType(supplied)).parquet(staged_path)
-            merged = upsert_rows(self._read(last), incoming)
-            self._write(_shaped(merged, schema), seq, txn, None)
-        else:
-            self._commit(seq, last["folder"], schema, txn, last["rows"])
+            # the number of incoming keys is known and within the bound
+            touched = stored.join(F.broadcast(incoming.select("id")), "id", "left_semi")
+            folder = f"deltas/s{seq}"
+            rows = _shaped(winning_versions(touched, incoming), schema)
+            rows.withColumn(_SEQ, F.lit(seq).cast("bigint")).write.mode("overwrite").parquet(
+                f"{self.path}/{folder}"
+            )
+            deltas.append(folder)
+        self._commit(seq, schema, last["base"], deltas, delta_rows, txn=txn)
         return count
 
-    def expire(self, keep: int = 2) -> None:
-        """Delete snapshot and staging folders older than the last `keep` snapshots."""
+    def compact(self) -> None:
+        """Write base and deltas as one new base."""
         last = self._last()
-        if last is None:
+        if last is not None and last["deltas"]:
+            self._write_base(self._read(last), last["seq"] + 1, self._schema_of(last))
+
+    def expire(self, keep: int = 10) -> None:
+        """Delete what only commits older than the last `keep` ones refer to."""
+        commits = self._commits()
+        if commits is None:
             return
-        recent = (
-            self._commits()
-            .groupBy("folder")
-            .agg(F.max("seq").alias("seq"))
-            .orderBy(F.desc("seq"))
-            .limit(keep)
-            .select("folder")
-            .collect()
-        )
-        kept = {r["folder"].rsplit("/", 1)[1] for r in recent}
-        for name in ("snapshots", "staged"):
+        recent = commits.orderBy(F.desc("seq")).limit(keep).collect()
+        kept = {f for r in recent for f in [r["base"], *r["deltas"]]}
+        kept |= {f"commits/c{r['seq']}" for r in recent}
+        for name in ("base", "deltas", "staged", "commits"):
             fs, root = hadoop_path(self.spark, f"{self.path}/{name}")
             if not fs.exists(root):
                 continue
             for status in fs.listStatus(root):
-                if status.getPath().getName() not in kept:
+                if f"{name}/{status.getPath().getName()}" not in kept:
                     fs.delete(status.getPath(), True)
