@@ -29,17 +29,19 @@ class EntityPattern:
     entity: str
     regex: str
     score: float
+    literal: str | None = None  # occurs in every match, tested before the regex
 
 
 # PERSON has no pattern: names come from a detector (see operators.masking).
 ENTITY_PATTERNS: tuple[EntityPattern, ...] = (
     EntityPattern(
-        "EMAIL_ADDRESS", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+", 1.0
+        "EMAIL_ADDRESS", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+", 1.0, "@"
     ),
     EntityPattern(
         "PHONE_NUMBER",
         r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9](?:[ .\-]?[0-9]){5,11}",
         0.4,
+        "+",
     ),
     EntityPattern("IBAN_CODE", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}", 0.6),
     EntityPattern(
@@ -64,8 +66,12 @@ def detect_spans(
     text = or_empty(c)
 
     def spans_of(p: EntityPattern) -> Column:
+        hits = F.regexp_extract_all(text, F.lit(p.regex), F.lit(0))
+        if p.literal is not None:
+            none = F.array().cast("array<string>")
+            hits = F.when(text.contains(p.literal), hits).otherwise(none)
         return F.transform(
-            F.regexp_extract_all(text, F.lit(p.regex), F.lit(0)),
+            hits,
             lambda v: F.struct(
                 F.lit(p.entity).alias("type"), v.alias("value"), F.lit(p.score).alias("score")
             ),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import or_empty
@@ -16,32 +16,36 @@ MASK = "[REDACTED]"
 
 
 @dataclass(frozen=True)
-class Rule:
-    """One rewrite. `pattern` and `replacement` use Java syntax ($1, ${name}).
+class Hint:
+    """What any text a rule can change must contain; it only saves work.
 
-    `hint` is an optional pair (literals, regex) that must hold in any text the
-    rule can change: all literals occur and the regex is found. It only saves
-    work; a rule without a hint is always run.
+    `literals` must all occur; of `words` (upper case) one must occur in some case.
     """
 
+    literals: tuple[str, ...] = ()
+    words: tuple[str, ...] = ()
+
+    def holds(self, c: Column) -> Column:
+        tests = [c.contains(x) for x in self.literals]
+        if self.words:
+            # U+0130 equals "i" when case is ignored, but is its own upper case
+            found = [F.upper(c).contains(w) for w in self.words] + [c.contains("\u0130")]
+            tests.append(reduce(lambda a, b: a | b, found))
+        return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """One rewrite. `pattern` and `replacement` use Java syntax ($1, ${name})."""
+
     name: str
     pattern: str
     replacement: str
-    hint: tuple[tuple[str, ...], str | None] | None = None
+    hint: Hint = Hint()
     flags: str = "(?iuU)"
 
-    @property
-    def java_pattern(self) -> str:
-        return self.flags + self.pattern
-
-    def may_match(self, c: Column) -> Column:
-        if self.hint is None:
-            return F.lit(True)
-        literals, regex = self.hint
-        tests = [c.contains(x) for x in literals]
-        if regex is not None:
-            tests.append(c.rlike(regex))
-        return reduce(lambda a, b: a & b, tests)
+    def rewrite(self, c: Column) -> Column:
+        return F.regexp_replace(c, self.flags + self.pattern, self.replacement)
 
     @classmethod
     def from_python(
@@ -63,40 +67,49 @@ DEFAULT_RULES: tuple[Rule, ...] = (
         "connection_string",
         r"\b([A-Za-z0-9_.$#]+)/[^/@\s]+@([A-Za-z0-9_.\-]+(?::\d+)?(?:/[A-Za-z0-9_.\-]+)?)",
         "$1/" + MASK + "@$2",
-        hint=(("/", "@"), None),
+        hint=Hint(literals=("/", "@")),
     ),
     Rule(
         "identified_by",
         r"(IDENTIFIED\s+BY\s+)(?:VALUES\s+)?(?:'[^']*'|\"[^\"]*\"|[^\s;]+)",
         "$1" + MASK,
-        hint=((), "(?iu)identified"),
+        hint=Hint(words=("IDENTIFIED",)),
     ),
     Rule(
         "password_assignment",
         r"\b(pass(?:word)?|pwd)\b\s*[:=]\s*(?:'[^']*'|\"[^\"]*\"|\S+)",
         "$1=" + MASK,
-        hint=((), "(?iu)pass|pwd"),
+        hint=Hint(words=("PASS", "PWD")),
     ),
 )
 
 
-def apply_rules(c: Column, rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
-    """Run every rule in order over a non-null text column."""
-    return reduce(
-        lambda acc, rule: F.regexp_replace(acc, rule.java_pattern, rule.replacement),
-        rules,
-        c,
-    )
-
-
 def redact(c: Column, rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
-    """Redacted text; null and '' give ''. Texts no rule can touch skip the chain.
-
-    The skip test holds for the whole chain: a mask put in by one rule contains
-    none of the hints, so a rule that could not match before cannot match after.
-    """
+    """Redacted text; null and '' give ''. Texts that no rule can change skip them all."""
     text = or_empty(c)
     if not rules:
         return text
-    candidate = reduce(lambda a, b: a | b, [rule.may_match(text) for rule in rules])
-    return F.when(candidate, apply_rules(text, rules)).otherwise(text)
+    candidate = reduce(lambda a, b: a | b, [rule.hint.holds(text) for rule in rules])
+    rewritten = reduce(lambda acc, rule: rule.rewrite(acc), rules, text)
+    return F.when(candidate, rewritten).otherwise(text)
+
+
+def redact_columns(
+    df: DataFrame, columns: Sequence[str], rules: Sequence[Rule] = DEFAULT_RULES
+) -> DataFrame:
+    """Redact several columns; a text only goes through the rules that can change it.
+
+    One projection per rule, so that each rule sees the finished text of the previous
+    one and no expression is evaluated twice.
+    """
+    step = df.withColumns({name: or_empty(F.col(name)) for name in columns})
+    for rule in rules:
+        step = step.withColumns(
+            {
+                name: F.when(rule.hint.holds(F.col(name)), rule.rewrite(F.col(name))).otherwise(
+                    F.col(name)
+                )
+                for name in columns
+            }
+        )
+    return step

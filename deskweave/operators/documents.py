@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_gmt
-from ..functions.redaction import DEFAULT_RULES, Rule, redact
+from ..functions.redaction import DEFAULT_RULES, Rule, redact_columns
 from ..functions.text import (
     MAX_FIELD_BYTES,
     content,
@@ -39,8 +39,8 @@ def to_documents(
 ) -> DataFrame:
     """Redact, then compose from the whole texts, then cut to the field limit.
 
-    The three projections are kept apart so that each redacted text is computed once
-    and shared by its own column and by `content`.
+    The projections are kept apart so that each redacted text is computed once and
+    shared by its own column and by `content`.
     """
     cleaned = records.select(
         strip(or_empty(F.col("number"))).alias("number"),
@@ -53,9 +53,7 @@ def to_documents(
         parse_gmt(strip(F.col("closed_at"))).alias("closed_at"),
         F.col("updated_at").alias(UPDATED),
     )
-    redacted = cleaned.withColumns(
-        {name: redact(F.col(name), rules) for name in FREE_TEXT}
-    )
+    redacted = redact_columns(cleaned, list(FREE_TEXT), rules)
     with_url = redacted.withColumn(
         "url", ticket_url(base_url, F.col(RECORD_KEY), F.col("number"))
     )

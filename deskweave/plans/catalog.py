@@ -20,7 +20,7 @@ from ..sources.marks import MarkStore
 from ..sources.pages import RECORD_SCHEMA, flatten_cells, parse_pages
 from ..sources.space import fresh_dir
 from ..streaming.ingest_stream import ingest_stream, stream_landed
-from .desk_tables import ALL_COLUMNS, BASE_URL, FROM_DOCUMENTS, groups, incidents, table
+from .desk_tables import ALL_COLUMNS, BASE_URL, FROM_DOCUMENTS, groups, incidents, table, texts
 from .ingest import Options, run_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,7 +186,7 @@ def page_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def cell_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents")
+    rows = texts(spark, sf_dir)
     doc_id = F.col("doc_id")
     value = F.when(doc_id % 2 == 0, F.concat(F.lit(" "), F.col("source")))
     label = F.when(doc_id % 3 == 0, F.col("lang")).otherwise("")
@@ -270,7 +270,7 @@ def documents_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def byte_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cut texts to the field limit, and to a small odd limit that splits characters."""
-    rows = table(spark, sf_dir, "documents")
+    rows = texts(spark, sf_dir)
     return rows.select(
         "doc_id",
         text.truncate_bytes(F.col("text")).alias("field_text"),
@@ -281,7 +281,7 @@ def byte_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def char_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model inputs: by characters (default limit) and by tokens."""
-    rows = table(spark, sf_dir, "documents")
+    rows = texts(spark, sf_dir)
     return rows.select(
         "doc_id",
         text.truncate_chars(F.col("text"), embedding.MAX_INPUT_CHARS).alias("by_chars"),
@@ -291,7 +291,7 @@ def char_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents")
+    rows = texts(spark, sf_dir)
     return rows.select(
         "doc_id",
         text.preview(F.col("text"), 80).alias("short_preview"),
@@ -304,7 +304,7 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _redacted(spark: SparkSession, sf_dir: str, rules) -> DataFrame:
     rows = incidents(spark, sf_dir, ("number", "description"))
-    return rows.select("number", redaction.redact(F.col("description"), rules).alias("redacted"))
+    return redaction.redact_columns(rows.withColumnRenamed("description", "redacted"), ["redacted"], rules)
 
 
 @register
@@ -344,7 +344,7 @@ def redact_then_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def pii_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents")
+    rows = texts(spark, sf_dir)
     spans = personal_data.confident_spans(personal_data.detect_spans(F.col("text")))
     return (
         rows.select("doc_id", F.explode(spans).alias("s"))
@@ -355,7 +355,7 @@ def pii_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def pii_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = texts(spark, sf_dir).select("doc_id", "text")
     return masking.mask_by_pattern(rows, ["text"]).select(
         "doc_id",
         "text",
@@ -366,7 +366,7 @@ def pii_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = texts(spark, sf_dir).select("doc_id", "text")
     return masking.mask_by_pattern(rows, ["text"]).agg(*masking.mask_counters())
 
 
@@ -392,7 +392,7 @@ def pii_json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(doc_id % 4 == 2, F.lit('{"pii": ['))
         .otherwise(F.lit('{"other": 1}'))
     )
-    rows = table(spark, sf_dir, "documents").select("doc_id", cells.json_values(reply).alias("v"))
+    rows = texts(spark, sf_dir).select("doc_id", cells.json_values(reply).alias("v"))
     return rows.select(
         "doc_id",
         F.size("v").cast("bigint").alias("value_count"),
@@ -404,7 +404,7 @@ def pii_json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lang_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = personal_data.route_language(F.col("lang"), ("es", "en"))
     return (
-        table(spark, sf_dir, "documents")
+        texts(spark, sf_dir)
         .groupBy("lang", routed.alias("routed"))
         .agg(F.count(F.lit(1)).alias("documents"))
     )
@@ -436,7 +436,7 @@ def make_failing_detector():
 
 @register
 def mask_with_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = texts(spark, sf_dir).select("doc_id", "lang", "text")
     masked = masking.mask_by_detector(rows, make_email_detector, ["text"], F.col("lang"))
     return masked.select("doc_id", "text", F.col(masking.OCCURRENCES).alias("occurrences"))
 
@@ -444,7 +444,7 @@ def mask_with_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def mask_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts the detector fails on stay as they are and are flagged."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = texts(spark, sf_dir).select("doc_id", "text")
     masked = masking.mask_by_detector(rows, make_failing_detector, ["text"])
     return masked.groupBy(F.col(MASKED_OK).alias("masked_ok")).agg(
         F.count(F.lit(1)).alias("documents"),
@@ -657,7 +657,7 @@ def stream_upsert_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def hash_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    rows = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
     return embedding.hash_embed(rows, "text", 256).select("id", "contentVector")
 
 
@@ -666,7 +666,7 @@ def hash_vector_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length and norm of the offline vectors of all documents."""
     from ..functions.vectors import norm
 
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    rows = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
     vectors = embedding.hash_embed(rows, "text", 256)
     return vectors.select(
         "id",
@@ -687,7 +687,7 @@ def make_counting_embedder():
 @register
 def model_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors from an injected model; texts of one language are emptied and skipped."""
-    rows = table(spark, sf_dir, "documents").select(
+    rows = texts(spark, sf_dir).select(
         "doc_id", F.when(F.col("lang") == "fr", "").otherwise(F.col("text")).alias("content")
     )
     vectors = with_vector(embedding.embed_documents(rows, make_counting_embedder))
@@ -703,7 +703,7 @@ def model_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def content_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with and without content."""
-    rows = table(spark, sf_dir, "documents").select(
+    rows = texts(spark, sf_dir).select(
         "doc_id", F.when(F.col("lang") == "de", "").otherwise(F.col("text")).alias("content")
     )
     return with_content(rows).agg(
@@ -720,7 +720,7 @@ def vector_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest neighbours of one stored vector among all vectors."""
     vectors = table(spark, sf_dir, "embeddings")
-    wanted = vectors.where("vec_id = 0").select("embedding").scalar()
+    wanted = vectors.where("vec_id = 0").select("embedding").first()[0]
     return search.nearest(vectors, wanted, TOP_DOCUMENTS, "vec_id", "embedding").select(
         "vec_id", "label", "score"
     )

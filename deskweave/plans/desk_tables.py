@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import format_gmt
+from ..sources.space import spread_small
 
 BASE_URL = "https://desk.example.com"
 
@@ -36,6 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table, with its rows over all cores even when it is one small file."""
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    return spread_small(spark.read.parquet(path), path, "doc_id")
+
+
 def ticket_number(doc_id: Column) -> Column:
     """INC0000042; every 50th number has a slash and a blank, to be cleaned for the key."""
     plain = F.format_string("%07d", doc_id)
@@ -72,8 +79,10 @@ def incidents(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = ALL_COLUMNS
 ) -> DataFrame:
     """Flat ticket records with the columns asked for."""
-    doc_id = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents").select(
+    doc_id, wanted = F.col("doc_id"), set(columns)
+    heavy = wanted & {"description", *FROM_CONVERSATIONS}
+    documents = texts(spark, sf_dir) if heavy else table(spark, sf_dir, "documents")
+    rows = documents.select(
         doc_id,
         F.md5(doc_id.cast("string")).alias("sys_id"),
         ticket_number(doc_id).alias("number"),
@@ -84,7 +93,6 @@ def incidents(
         F.col("source").alias("assignment_group"),
         F.concat(F.lit("HD "), F.col("source")).alias("assignment_group_name"),
     )
-    wanted = set(columns)
     if wanted & set(FROM_ORDERS):
         orders = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("doc_id"),

@@ -43,6 +43,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def spread_small(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Spread a table over all cores when its files would not fill one split each.
+
+    A large table has a split for every core anyway and is returned as it is, without
+    a shuffle.
+    """
+    spark = df.sparkSession
+    fs, jvm_path = hadoop_path(spark, path)
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if fs.getContentSummary(jvm_path).getLength() < cores * split:
+        return df.repartition(cores, key)
+    return df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when `df` has at most `max_rows` rows; counts no further than that."""
     return df.limit(max_rows + 1).count() <= max_rows
