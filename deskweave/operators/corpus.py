@@ -193,9 +193,16 @@ class Corpus:
         empty: bool = False,
         txn: str | None = None,
     ) -> None:
-        row = (seq, base, list(deltas), delta_rows, empty, schema.json(), txn)
-        log = self.spark.createDataFrame([row], _COMMITS).coalesce(1)
-        log.write.mode("append").json(f"{self.path}/commits/c{seq}")
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(seq).cast("bigint").alias("seq"),
+            F.lit(base).alias("base"),
+            F.array(*[F.lit(d) for d in deltas]).cast("array<string>").alias("deltas"),
+            F.lit(delta_rows).cast("bigint").alias("delta_rows"),
+            F.lit(empty).alias("empty"),
+            F.lit(schema.json()).alias("schema"),
+            F.lit(txn).cast("string").alias("txn"),
+        )
+        row.write.mode("append").json(f"{self.path}/commits/c{seq}")
 
     def has(self, txn: str | None) -> bool:
         """True when a write with this id was committed before."""
@@ -286,14 +293,13 @@ class Corpus:
         """
         if self.has(txn):
             return 0
-        self.ensure()
         last = self._last()
-        schema = self._schema_of(last)
-        seq = last["seq"] + 1
+        schema = self.declared if last is None else self._schema_of(last)
+        seq = 0 if last is None else last["seq"] + 1
         seen = Observation()
         newest = documents if unique else latest_per_key(documents)
         newest = newest.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if last["empty"]:
+        if last is None or last["empty"]:
             folder = f"base/s{seq}"
             _shaped(newest, schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
             count = seen.get["rows"]

@@ -19,6 +19,7 @@ from ..functions.text import (
     ticket_url,
     truncate_bytes,
 )
+from .once import with_columns_once
 from .schema import UPDATED
 
 FREE_TEXT = {
@@ -63,8 +64,12 @@ def to_documents(
         F.date_format("closed_at", "yyyy-MM-dd"),
         F.col("url"),
     )
-    composed = with_url.withColumn(
-        "content", content(line, {name: F.col(name) for name in FREE_TEXT})
+    composed = with_columns_once(
+        with_url,
+        {
+            **{name: F.col(name) for name in FREE_TEXT},
+            "content": content(line, {name: F.col(name) for name in FREE_TEXT}),
+        },
     )
     cut = ("description", "resolution", "work_notes", "comments", "content")
     return composed.select(

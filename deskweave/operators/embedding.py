@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate_chars, words
+from .once import with_columns_once
 from .schema import DEFAULT_DIMENSIONS, VECTOR_FIELD
 
 Embedder = Callable[[list[str]], list[list[float]]]
@@ -95,10 +96,8 @@ def hash_embed(
     scaled = Normalizer(inputCol="_counts", outputCol="_unit")
     with_words = documents.withColumn("_words", words(F.col(column)))
     vectors = scaled.transform(counted.transform(with_words))
-    return vectors.withColumn(
-        VECTOR_FIELD,
-        F.when(F.size("_words") > 0, vector_to_array(F.col("_unit"), "float32")),
-    ).drop("_words", "_counts", "_unit")
+    array = F.when(F.size("_words") > 0, vector_to_array(F.col("_unit"), "float32"))
+    return with_columns_once(vectors, {VECTOR_FIELD: array}).drop("_words", "_counts", "_unit")
 
 
 def check_vectors(

@@ -25,6 +25,7 @@ from ..functions.personal_data import (
     span_values,
 )
 from ..functions.text import or_empty
+from .once import with_columns_once
 from .schema import MASKED_OK
 
 Detector = Callable[[list[str], list[str]], list[list[str]]]
@@ -114,7 +115,7 @@ def detect_with(
 def _masked(df: DataFrame, column: str, values: Column, ok: Column) -> DataFrame:
     """Mask one column; values and occurrences add up over repeated use."""
     step = df.withColumns({"_found": mask_order(values), "_good": ok})
-    step = step.withColumn("_masked", mask_values(F.col(column), F.col("_found")))
+    step = with_columns_once(step, {"_masked": mask_values(F.col(column), F.col("_found"))})
     before = set(df.columns)
     count = F.size("_found").cast("bigint")
     return step.withColumns(

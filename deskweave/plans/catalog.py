@@ -642,7 +642,7 @@ def stream_upsert_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     _redelivered(rows).select(*names).write.mode("append").parquet(landed)
     corpus = Corpus(spark, f"{home}/corpus", corpus_schema())
     stream = ingest_stream(
-        stream_landed(spark, landed, RECORD_SCHEMA, max_files=6),
+        stream_landed(spark, landed, RECORD_SCHEMA, max_files=8),
         corpus,
         f"{home}/checkpoint",
         Options(base_url=BASE_URL),
