@@ -14,10 +14,18 @@ from ..functions import cells, dates, personal_data, redaction, text
 from ..operators import browse, embedding, masking, profile, scope, search
 from ..operators.corpus import Corpus, key_collisions, latest_per_key, merge_versions
 from ..operators.documents import to_documents, with_content, with_vector
-from ..operators.schema import MASKED_OK, UPDATED, corpus_schema
+from ..operators.schema import FIELD_FLAGS, MASKED_OK, UPDATED, corpus_schema, describe_schema
 from ..operators.scope import Scope, in_scope
+from ..sources.lists import read_evaluation_set, read_groups
 from ..sources.marks import MarkStore
-from ..sources.pages import RECORD_SCHEMA, flatten_cells, parse_pages
+from ..sources.pages import (
+    RECORD_SCHEMA,
+    flatten_cells,
+    land_records,
+    parse_pages,
+    read_landed,
+    read_pages,
+)
 from ..sources.space import fresh_dir
 from ..streaming.ingest_stream import ingest_stream, stream_landed
 from .desk_tables import ALL_COLUMNS, BASE_URL, FROM_DOCUMENTS, groups, incidents, table, texts
@@ -202,6 +210,42 @@ def cell_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page files read, flattened, landed by update day, and scanned from a mark on."""
+    home = fresh_dir(spark, "pages")
+    rows = incidents(spark, sf_dir, FROM_DOCUMENTS + ("state", "priority", "sys_updated_on"))
+    _pages(rows).write.text(f"{home}/pages")
+    landed = flatten_cells(read_pages(spark, f"{home}/pages", multi_line=False))
+    land_records(landed, f"{home}/records")
+    fresh = read_landed(spark, f"{home}/records").where(scope.since(MARK, scope.OVERLAP_MINUTES))
+    return fresh.select("number", "description", "priority", "updated_day")
+
+
+@register
+def group_file_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scope by a group list kept as a text file."""
+    home = fresh_dir(spark, "groups")
+    lines = groups(spark, sf_dir).where("active")
+    lines.select(F.concat_ws(" | ", "name", "sys_id")).write.text(home)
+    listed = read_groups(spark, home)
+    rows = incidents(spark, sf_dir, ("number", "assignment_group"))
+    chosen = scope.with_group_labels(scope.in_groups(rows, listed), listed)
+    return chosen.groupBy("group_label").agg(F.count(F.lit(1)).alias("tickets"))
+
+
+@register
+def evaluation_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question set written as CSV and read back, quotes and line ends included."""
+    home = fresh_dir(spark, "evaluation")
+    asked = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit('"'), F.translate("text", "\n", " "), F.lit('", '), "item_id"),
+        F.concat(F.lit("answer, "), "item_id"),
+    )
+    asked.write.csv(home, quote='"', escape='"', quoteAll=True)
+    return read_evaluation_set(spark, home)
+
+
 @register
 def eval_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.evaluation_limits(table(spark, sf_dir, "benchmark"), "text")
@@ -567,6 +611,30 @@ def evolve_add_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.read().select("id", "number", "url")
 
 
+@register
+def recreate_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corpus that is emptied and filled again, by another scope."""
+    docs = to_documents(incidents(spark, sf_dir), BASE_URL)
+    corpus = Corpus(spark, fresh_dir(spark, "recreate"), corpus_schema())
+    corpus.ensure()
+    corpus.upsert(docs)
+    corpus.recreate(confirmed=True)
+    corpus.upsert(docs.where(F.col("assignment_group").isin(*GROUPS)))
+    return _summary(corpus.read())
+
+
+@register
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags of each corpus field, with how many documents fill it and how long."""
+    docs = _documents(spark, sf_dir)
+    fields = [f for f in FIELD_FLAGS if f in docs.columns]
+    used = profile.field_profile(docs, fields).select("field", "filled", "max_length")
+    flags = describe_schema(spark, corpus_schema()).withColumnRenamed("name", "field")
+    return used.join(F.broadcast(flags), "field").select(
+        "field", "type", "searchable", "filterable", "retrievable", "filled", "max_length"
+    )
+
+
 @register
 def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest update in scope, with and without a previous mark."""
@@ -599,6 +667,20 @@ def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.to_frame(spark)
 
 
+@register
+def full_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run ignores the saved mark and replaces it."""
+    corpus, marks = _ingest(spark, "full")
+    marks.write("2030-01-01 00:00:00")
+    options = Options(scope=Scope(groups=GROUPS), base_url=BASE_URL)
+    stats = run_ingest(incidents(spark, sf_dir), corpus, marks, options, full=True)
+    return corpus.read().agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.lit(stats.mode).alias("mode"),
+        F.lit(marks.read()).alias("saved_mark"),
+    )
+
+
 @register
 def backfill_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run from a date on; the mark saved before stays."""
@@ -743,6 +825,15 @@ def vector_text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "number", "score")
 
 
+@register
+def cosine_topk_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate neighbours of the same vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    wanted = vectors.where("vec_id = 0").select("embedding").first()[0]
+    found = search.nearest_approx(vectors, wanted, TOP_DOCUMENTS, "embedding")
+    return found.select("vec_id", "label", "score")
+
+
 @register
 def fulltext_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("short_description", "description", "assignment_group_name")

@@ -274,6 +274,40 @@ def _profile(field: str) -> str:
 FROM (SELECT {field} IS NOT NULL AS p, {value} AS t FROM incident)"""
 
 
+# field -> (searchable, filterable, retrievable)
+REPORTED = {
+    "id": (False, True, True),
+    "number": (True, True, True),
+    "url": (False, False, True),
+    "short_description": (True, False, True),
+    "description": (True, False, False),
+    "resolution": (True, False, False),
+    "work_notes": (True, False, False),
+    "comments": (True, False, False),
+    "content": (True, False, True),
+    "assignment_group": (False, True, True),
+    "assignment_group_name": (True, True, True),
+    "priority": (False, True, True),
+    "impact": (False, True, True),
+    "urgency": (False, True, True),
+    "closed_at": (False, True, True),
+}
+
+
+def _field_report() -> list[str]:
+    parts = []
+    for field, (searchable, filterable, retrievable) in REPORTED.items():
+        is_time = field == "closed_at"
+        shown = "strftime(closed_at, '%Y-%m-%d %H:%M:%S')" if is_time else field
+        parts.append(
+            f"SELECT '{field}' AS field, '{'timestamp_ntz' if is_time else 'string'}' AS type, "
+            f"{searchable} AS searchable, {filterable} AS filterable, "
+            f"{retrievable} AS retrievable, count(nullif({shown}, '')) AS filled, "
+            f"max(length({shown})) AS max_length FROM document"
+        )
+    return parts
+
+
 def all_checks() -> dict[str, str]:
     number_iso = f"SELECT number, closed_at, {iso(closed('closed_at'))} AS closed_iso"
     base = f"'{BASE_URL}"
@@ -339,6 +373,15 @@ FROM document GROUP BY 1, 2""",
   assignment_group_name, upper(priority) AS priority,
   CASE WHEN doc_id % 3 = 0 THEN state ELSE '' END AS state, '' AS close_notes,
   strptime(sys_updated_on, '%Y-%m-%d %H:%M:%S') AS updated_at FROM incident""",
+        "landed_pages": _with(INCIDENT)
+        + f"""SELECT number, {strip("description")} AS description,
+  upper(priority) AS priority, CAST(updated_at AS DATE) AS updated_day FROM incident
+WHERE date_trunc('second', updated_at) >= TIMESTAMP '{catalog.MARK}' - INTERVAL 15 MINUTE""",
+        "group_file_scope": _with(INCIDENT, DOC_GROUPS)
+        + "SELECT name AS group_label, count(*) AS tickets FROM incident i "
+        "JOIN desk_group g ON g.sys_id = i.assignment_group WHERE active GROUP BY name",
+        "evaluation_file": """SELECT '"' || replace(text, chr(10), ' ') || '", ' || item_id
+  AS question, 'answer, ' || item_id AS expected_response FROM benchmark""",
         "cell_fallback": """WITH c AS (
   SELECT doc_id,
     CASE WHEN doc_id % 5 = 0 OR doc_id % 2 = 0 THEN source ELSE '' END AS value,
@@ -455,6 +498,13 @@ FROM incident WHERE doc_id % 50 = 7""",
         + f"""SELECT {key("number")} AS id, number,
   CASE WHEN state IN ('6','7') AND {IN_GROUPS}
     THEN {base}/nav_to.do?uri=incident.do?sys_id=' || sys_id END AS url FROM incident""",
+        "recreate_corpus": _with(
+            INCIDENT,
+            f"chosen AS (SELECT * FROM incident WHERE {IN_GROUPS})",
+            document_ctes("chosen"),
+        )
+        + f"{SUMMARY} FROM document",
+        "schema_report": _with(*DOCUMENTS) + " UNION ALL ".join(_field_report()),
         "high_water_mark": _with(INCIDENT)
         + """SELECT strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') AS mark,
   strftime(greatest(max(updated_at), TIMESTAMP '2020-01-01'), '%Y-%m-%d %H:%M:%S')
@@ -472,6 +522,10 @@ FROM incident WHERE state IN ('6','7')""",
   CAST(sum(n) AS BIGINT) AS pii_values_masked,
   count(*) FILTER (WHERE occurrences > 0) AS pii_docs_with_pii,
   CAST(0 AS BIGINT) AS pii_failures, CAST(0 AS BIGINT) AS undated FROM counted""",
+        "full_mode": _with(INCIDENT)
+        + f"""SELECT count(*) AS documents, 'full' AS mode,
+  strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') AS saved_mark
+FROM incident WHERE state IN ('6','7') AND {IN_GROUPS}""",
         "backfill_mode": _with(INCIDENT)
         + f"""SELECT count(*) AS documents, 'backfill' AS mode, '{catalog.MARK}' AS saved_mark,
   strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') AS seen_mark
