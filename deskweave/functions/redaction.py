@@ -97,19 +97,21 @@ def redact(c: Column, rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
 def redact_columns(
     df: DataFrame, columns: Sequence[str], rules: Sequence[Rule] = DEFAULT_RULES
 ) -> DataFrame:
-    """Redact several columns; a text only goes through the rules that can change it.
+    """Redact several columns; a text only goes through rules that may change it.
 
-    One projection per rule, so that each rule sees the finished text of the previous
-    one and no expression is evaluated twice.
+    The hints are tested once, on the text as it comes. A rule runs when its own hint
+    holds or when an earlier rule ran, whose replacement it may match. One projection
+    per rule: each sees the finished text of the previous one, and no expression is
+    evaluated twice.
     """
     step = df.withColumns({name: or_empty(F.col(name)) for name in columns})
-    for rule in rules:
-        step = step.withColumns(
-            {
-                name: F.when(rule.hint.holds(F.col(name)), rule.rewrite(F.col(name))).otherwise(
-                    F.col(name)
-                )
-                for name in columns
-            }
-        )
-    return step
+    step = step.withColumns(
+        {f"_hint{i}_{n}": r.hint.holds(F.col(n)) for n in columns for i, r in enumerate(rules)}
+    )
+    for i, rule in enumerate(rules):
+        rewritten = {}
+        for name in columns:
+            runs = reduce(lambda a, b: a | b, [F.col(f"_hint{j}_{name}") for j in range(i + 1)])
+            rewritten[name] = F.when(runs, rule.rewrite(F.col(name))).otherwise(F.col(name))
+        step = step.withColumns(rewritten)
+    return step.drop(*[f"_hint{i}_{n}" for n in columns for i in range(len(rules))])

@@ -97,7 +97,8 @@ def test_pairs_are_cut_before_the_shuffle(docs, questions):
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("== Initial Plan ==")]
     assert "row_number(), 2, Partial" in final
-    assert "ReusedExchange" in final  # the words asked for are shuffled once
+    # the texts are split and shuffled once, for postings, frequencies and lengths
+    assert final.count("ReusedExchange") >= 2
 
 
 # --- vectors ----------------------------------------------------------------
