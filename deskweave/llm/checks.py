@@ -15,6 +15,16 @@ _WINDOWS = r"""
         WHERE len(w) > 0)
 """
 
+OP4 = """
+WITH sized AS (
+        SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n FROM pages),
+    firsts AS (SELECT payload, min(page_id) AS original FROM sized WHERE n >= 100 GROUP BY payload)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+    CASE WHEN original IS NULL OR original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN original <> page_id THEN original END AS refers_to
+FROM sized LEFT JOIN firsts USING (payload)
+"""
+
 OP5 = f"""
 WITH {_WINDOWS},
     doc_words AS (
@@ -110,4 +120,4 @@ FROM ranked
 
 
 def all_checks() -> dict[str, str]:
-    return {"op5_decontaminate": OP5, "op6_url_filter": OP6, "op10_source_mix": OP10}
+    return {"op4_warc": OP4, "op5_decontaminate": OP5, "op6_url_filter": OP6, "op10_source_mix": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, source_mix, url_filter
+from . import decontaminate, simhash, source_mix, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
+@register
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 @register
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -45,3 +51,8 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+@register
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
