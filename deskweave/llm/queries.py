@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii_crf, quality, simhash, source_mix, url_filter, warc
+from . import decontaminate, digest, pii_crf, quality, simhash, source_mix, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii_crf.detect(docs, pii_crf.train(pii_crf.labelled_table(docs)))
+
+
+@register
+def op2_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.neighbour_report(table(spark, sf_dir, "documents"))
