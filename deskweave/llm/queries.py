@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, digest, pii_crf, quality, simhash, source_mix, url_filter, warc
+from . import decontaminate, digest, mixing_lm, pii_crf, quality, simhash, source_mix, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def op8_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.neighbour_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_lm.score(table(spark, sf_dir, "documents"))
