@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, digest, mixing_lm, pii_crf, quality, simhash, source_mix, url_filter, warc
-from .common import table
+from . import (
+    decontaminate,
+    digest,
+    mixing_lm,
+    pii_crf,
+    quality,
+    simhash,
+    source_mix,
+    token_counts,
+    url_filter,
+    warc,
+)
+from .common import fresh_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -85,3 +96,24 @@ def op2_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_lm.score(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; then bad ones are deleted and toxic ones revised, twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    counters = {"words": token_counts.count_words, token_counts.BPE_NAME: token_counts.count_bpe()}
+    rollup = token_counts.Rollup(spark, fresh_dir(spark, "token-counts"), counters)
+    rollup.commit(1, docs.withColumn("deleted", F.lit(False)))
+    judged = docs.join(labels, "doc_id").where("quality = 0 or toxic = 1")
+    changes = judged.select(
+        "doc_id",
+        "source",
+        "lang",
+        F.regexp_replace("text", "[0-9]", "#").alias("text"),
+        (F.col("quality") == 0).alias("deleted"),
+    )
+    rollup.commit(2, changes)
+    rollup.commit(2, changes)  # delivered again, changes nothing
+    return rollup.totals()
