@@ -215,13 +215,17 @@ def resolve(records: DataFrame) -> DataFrame:
         )
         .dropDuplicates(["refers_to_id"])
     )
-    return records.join(originals, "refers_to_id", "left").select(
-        "page_id",
-        F.coalesce("payload_bytes", "original_bytes").alias("payload_bytes"),
-        F.coalesce("original_digest", "payload_digest").alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    revisit = F.col("record_type") == "revisit"
+    own = records.where(~revisit).withColumn("refers_to", F.lit(None).cast("long"))
+    again = (
+        records.where(revisit)
+        .drop("payload_bytes")
+        .join(originals, "refers_to_id", "left")
+        .withColumn("payload_digest", F.coalesce("original_digest", "payload_digest"))
+        .withColumnRenamed("original_bytes", "payload_bytes")
     )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return own.select(*columns).unionByName(again.select(*columns))
 
 
 def round_trip(pages: DataFrame, **columns) -> DataFrame:
