@@ -23,6 +23,7 @@ from .common import lower_ascii, stored
 WINDOW = 13
 WORD_CHARS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 OTHER_CHARS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+RAW_OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # before lower-casing
 BROADCAST_GRAMS = 500_000
 MIN_SHARE = 20  # contaminated: a hit in at least one of so many words
@@ -196,7 +197,7 @@ def clean(
     )
     if remove == "documents":
         return rows.join(flagged, same, "left_anti").select("_doc.*")
-    pieces = F.split(text, f"(?<={OTHER_CHARS})(?={RAW_WORD})")
+    pieces = F.split(text, f"(?<={RAW_OTHER})(?={RAW_WORD})")
     lead = F.when(text.rlike(f"^{RAW_WORD}"), 0).otherwise(1)
     kept = F.filter(pieces, lambda p, i: ~F.array_contains("hits", i - lead))
     cut = F.when(F.col("hits").isNull(), text).otherwise(F.array_join(kept, ""))

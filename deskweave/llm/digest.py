@@ -212,7 +212,8 @@ def _in_order(docs: DataFrame, parts: int) -> DataFrame:
     edges = sorted(set(bounds or []), reverse=True)
     # the number of a range counts the edges at or above the id; null ids come last
     above = F.size(F.filter(F.lit(edges), lambda e: e > F.col("doc_id"))) if edges else F.lit(0)
-    ranged = docs.withColumn("range", F.coalesce(above, F.lit(len(edges) + 1)))
+    last = F.lit(len(edges) + 1)
+    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(above))
     order = (F.col("doc_id").desc_nulls_last(), F.col("tie"))
     ranged = ranged.withColumn("tie", F.xxhash64("text"))
     down = F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1))

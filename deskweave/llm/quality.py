@@ -50,11 +50,17 @@ def _by_passage(values: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(passage, weights=values, minlength=n)
 
 
-def _word_stats(data: np.ndarray, kind: np.ndarray, passage: np.ndarray, n: int) -> list[np.ndarray]:
-    """Word lengths and repeated words per passage; a word belongs to where it starts."""
+def _word_stats(
+    data: np.ndarray, kind: np.ndarray, at: np.ndarray, passage: np.ndarray, n: int
+) -> list[np.ndarray]:
+    """Word lengths and repeated words per passage; a word belongs to where it starts.
+
+    `at` are positions in the text: no word goes on into the next text.
+    """
     inside = kind > 1
-    edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
-    starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    joined = np.concatenate(([False], inside[:-1] & inside[1:] & (at[1:] > 0), [False]))
+    starts = np.flatnonzero(inside & ~joined[:-1])
+    stops = np.flatnonzero(inside & ~joined[1:]) + 1
     if not len(starts):
         return [np.zeros(n)] * 5
     weight = np.power(np.uint64(0x9E3779B97F4A7C15), np.arange(64, dtype=np.uint64))
@@ -102,7 +108,7 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     passage = np.repeat(np.cumsum(counts) - counts, sizes)
     passage += at * np.repeat(counts, sizes) // np.repeat(sizes, sizes)
     kind = _class_table()[data]
-    length = np.maximum(np.bincount(passage, minlength=n), 1)
+    length = np.maximum(size := np.bincount(passage, minlength=n), 1)
     wide = kind.astype(np.int64)
     code = (wide[:-2] * 225 + wide[1:-1] * 15 + wide[2:]) * 40503 >> 5 & (TRIGRAMS - 1)
     same = passage[:-2] == passage[2:]
@@ -111,8 +117,8 @@ def encode(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     ).reshape(n, TRIGRAMS)
     features[:, :TRIGRAMS] = np.sqrt(grams / length[:, None])
     stats = [_by_passage(kind == k, passage, n) / length for k in (0, 1, 3, 4, 5)]
-    stats += [_by_passage((kind >= 6), passage, n) / length, np.log1p(length) / 8]
-    stats += _word_stats(data, kind, passage, n)
+    stats += [_by_passage((kind >= 6), passage, n) / length, np.log1p(size) / 8]
+    stats += _word_stats(data, kind, at, passage, n)
     features[:, TRIGRAMS:] = np.stack(stats, axis=1)
     return features, counts
 

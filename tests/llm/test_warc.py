@@ -1,0 +1,80 @@
+import gzip
+import hashlib
+
+from pyspark.sql import functions as F
+
+from deskweave.llm import warc
+from deskweave.sources.space import fresh_dir
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def plain(rows, least=100):
+    first = {}
+    for i, _, h in rows:
+        if i is not None and len((h or "").encode()) >= least:
+            first[h] = min(i, first.get(h, i))
+    out = []
+    for i, _, h in rows:
+        data = (h or "").encode()
+        original = first.get(h) if len(data) >= least else None
+        again = original is not None and original != i
+        out.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response",
+                    original if again else None))
+    return sorted(out, key=repr)
+
+
+LONG = "<p>pÄge</p>\r\n\r\nWARC/1.1\r\n\0" * 8
+ROWS = [
+    (5, "http://a/", LONG), (3, "http://b/", LONG), (9, None, LONG), (None, "http://c/", LONG),
+    (1, "http://d/", "x" * 99), (2, "http://d/", "x" * 99), (4, "http://e/\r\nX: y", "y" * 100),
+    (6, "http://e/", "y" * 100), (7, "http://f/", None), (8, "http://f/", ""), (10, "http://g/", "z" * 3_000_000),
+    (11, "http://h/", "z" * 3_000_000),
+]
+
+
+def test_round_trip(spark):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    got = sorted(map(tuple, warc.round_trip(pages).collect()), key=repr)
+    assert got == plain(ROWS)
+
+
+def test_repeated_rows_and_other_columns(spark):
+    rows = [(1, "u", LONG), (1, "u", LONG), (2, "u", LONG), (2, "u", LONG)]
+    more = spark.createDataFrame(rows, SCHEMA).withColumns(
+        {c: F.lit(7) for c in ("digest", "payload", "original", "r_id", "uri")}
+    )
+    assert sorted(map(tuple, warc.round_trip(more).collect()), key=repr) == plain(rows)
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_archives_are_gzipped_records(spark):
+    path = fresh_dir(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(ROWS, SCHEMA), path)
+    records = []
+    for row in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect():
+        if len(row["content"]):
+            whole = gzip.decompress(row["content"])
+            assert whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"\r\n\r\n")
+        records += warc.parse_archive(row["content"])
+    assert len(records) == len(ROWS)
+    by_type = [f["warc-type"] for f, _ in records]
+    assert by_type.count("revisit") == 5
+    ids = {f["warc-record-id"]: f for f, _ in records}
+    for fields, block in records:
+        head, _, payload = block.partition(b"\r\n\r\n")
+        assert head.startswith(b"HTTP/1.1 200 OK")
+        if fields["warc-type"] == "revisit":
+            assert payload == b"" and fields["warc-profile"] == warc.PROFILE
+            assert ids[fields["warc-refers-to"]]["warc-payload-digest"] == fields["warc-payload-digest"]
+        else:
+            assert fields["warc-payload-digest"] == "sha256:" + hashlib.sha256(payload).hexdigest()
+
+
+def test_revisit_without_its_original(spark):
+    rows = [("r1", "revisit", None, 4, "gone", None, "abc")]
+    found = warc.resolve(spark.createDataFrame(rows, warc.PARSED)).first()
+    assert tuple(found) == (4, None, "abc", "revisit", None)
