@@ -1,10 +1,10 @@
 """The keyed corpus: latest version per key, column-wise upsert, stored as Parquet.
 
-A corpus is a set of immutable Parquet folders and a log of one-row JSON commits. The
-newest commit names the folders to read and the schema to read them with, so readers
-never see a half-written table, a killed writer leaves no trace but an unnamed
-folder, and a schema can grow without touching data. One writer at a time. Where a
-table format with MERGE INTO is at hand it can take this place.
+A corpus is a snapshot in hash buckets of the key, and a pointer that names the folder of
+each bucket. An upsert reads, merges and writes only the buckets that hold one of its keys,
+then moves the pointer; readers never see a half-written table, and a killed writer leaves
+only folders that no pointer names. One writer at a time. Where a table format with MERGE
+INTO is at hand it can take this place.
 """
 
 from __future__ import annotations
@@ -12,19 +12,18 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.space import BROADCAST_ROWS, fits_broadcast, hadoop_path, path_exists
+from ..sources.space import hadoop_path
 from .documents import RECORD_KEY
 from .schema import UPDATED, evolved_schema
 
-_COMMITS = (
-    "seq bigint, base string, deltas array<string>, delta_rows bigint, "
-    "empty boolean, schema string, txn string"
-)
-_SEQ = "_seq"
+BUCKETS = 16
+KEPT_POINTERS = 3
+_BUCKET = "_bucket"
+_POINTER = "schema string, buckets int, folders map<string,bigint>, batches map<string,bigint>"
 
 
 def latest_per_key(
@@ -55,7 +54,7 @@ def key_collisions(documents: DataFrame) -> DataFrame:
     )
 
 
-def _paired(stored: DataFrame, incoming: DataFrame, key: str, updated: str, how: str) -> DataFrame:
+def _paired(stored: DataFrame, incoming: DataFrame, key: str, updated: str) -> DataFrame:
     """Stored and incoming rows side by side, with a `takes_new` decision.
 
     The incoming version is taken unless the stored one is dated and newer. Columns
@@ -66,7 +65,7 @@ def _paired(stored: DataFrame, incoming: DataFrame, key: str, updated: str, how:
         *[F.col(c).alias(c if c == key else f"new_{c}") for c in incoming.columns]
     )
     both = new.withColumn("in_new", F.lit(True)).join(
-        old.withColumn("in_old", F.lit(True)), key, how
+        old.withColumn("in_old", F.lit(True)), key, "full_outer"
     )
     wins = F.lit(True)
     if updated in incoming.columns and updated in stored.columns:
@@ -88,7 +87,7 @@ def merge_versions(
     Of a taken version every supplied column is used, nulls included; columns that
     were not supplied keep the stored value.
     """
-    both = _paired(stored, incoming, key, updated, "full_outer")
+    both = _paired(stored, incoming, key, updated)
 
     def pick(name: str) -> Column:
         if name == key:
@@ -101,41 +100,6 @@ def merge_versions(
     return both.select(*[pick(name) for name in _all_columns(stored, incoming)])
 
 
-def winning_versions(
-    stored: DataFrame, incoming: DataFrame, key: str = "id", updated: str = UPDATED
-) -> DataFrame:
-    """Only the incoming rows that are taken, completed with stored values.
-
-    When all columns are supplied, only key and update time of the stored rows are
-    read.
-    """
-    both = _paired(stored, incoming, key, updated, "left").where("takes_new")
-
-    def pick(name: str) -> Column:
-        if name == key:
-            return F.col(key)
-        side = "new" if name in incoming.columns else "old"
-        return F.col(f"{side}_{name}").alias(name)
-
-    return both.select(*[pick(name) for name in _all_columns(stored, incoming)])
-
-
-def upsert_rows(stored: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
-    """merge_versions that leaves untouched rows where they are.
-
-    With a checked number of incoming keys these are broadcast: stored rows with
-    other keys stream through without a shuffle, and only the touched rows meet the
-    incoming ones. A larger delta is merged by one full outer join.
-    """
-    keys = incoming.select(key)
-    if not fits_broadcast(keys):
-        return merge_versions(stored, incoming, key)
-    keys = F.broadcast(keys)
-    untouched = stored.join(keys, key, "left_anti")
-    touched = stored.join(keys, key, "left_semi")
-    return untouched.unionByName(merge_versions(touched, incoming, key), allowMissingColumns=True)
-
-
 def _shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of `schema`; columns not in `df` become null."""
     have = set(df.columns)
@@ -152,85 +116,98 @@ def _shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
 class Corpus:
     """A keyed table at `path`.
 
-    A run adds its winning rows as a delta folder, so it writes in proportion to what
-    changed. Once the deltas would hold more than `max_delta_rows` rows, the run
-    writes a new base instead. The bound keeps the delta keys, which readers broadcast
-    to hide superseded base rows, small.
+    `buckets` is fixed when the corpus is created; choose it so that a bucket is some files
+    large. Pointers carry the last batch of each stream that was merged, so that a batch
+    delivered again is skipped; `recreate` forgets them with the data.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        schema: T.StructType,
-        max_delta_rows: int = BROADCAST_ROWS,
+        self, spark: SparkSession, path: str, schema: T.StructType, buckets: int = BUCKETS
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.declared = schema
-        self.max_delta_rows = max_delta_rows
-
-    # --- commits ---------------------------------------------------------
-
-    def _commits(self) -> DataFrame | None:
-        if not path_exists(self.spark, f"{self.path}/commits"):
-            return None
-        return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits/*")
-
-    def _last(self) -> T.Row | None:
-        commits = self._commits()
-        if commits is None:
+        self.buckets = buckets
+
+    # --- pointer ---------------------------------------------------------
+
+    def _names(self, folder: str) -> list[str]:
+        fs, root = hadoop_path(self.spark, f"{self.path}/{folder}")
+        return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+    def _versions(self) -> list[int]:
+        """Committed versions, in order."""
+        found = []
+        for name in self._names("pointer"):
+            fs, done = hadoop_path(self.spark, f"{self.path}/pointer/{name}/_SUCCESS")
+            if fs.exists(done):
+                found.append(int(name))
+        return sorted(found)
+
+    def _last(self) -> tuple[int, T.Row] | None:
+        versions = self._versions()
+        if not versions:
             return None
-        return commits.agg(F.max_by(F.struct("*"), "seq").alias("last")).first()["last"]
+        path = f"{self.path}/pointer/{versions[-1]}"
+        return versions[-1], self.spark.read.schema(_POINTER).json(path).first()
 
-    def _commit(
+    def _point(
         self,
-        seq: int,
+        version: int,
         schema: T.StructType,
-        base: str,
-        deltas: Sequence[str] = (),
-        delta_rows: int = 0,
-        empty: bool = False,
-        txn: str | None = None,
+        buckets: int,
+        folders: dict[int, int],
+        batches: dict[str, int],
     ) -> None:
-        row = self.spark.range(1, numPartitions=1).select(
-            F.lit(seq).cast("bigint").alias("seq"),
-            F.lit(base).alias("base"),
-            F.array(*[F.lit(d) for d in deltas]).cast("array<string>").alias("deltas"),
-            F.lit(delta_rows).cast("bigint").alias("delta_rows"),
-            F.lit(empty).alias("empty"),
-            F.lit(schema.json()).alias("schema"),
-            F.lit(txn).cast("string").alias("txn"),
-        )
-        row.write.mode("append").json(f"{self.path}/commits/c{seq}")
-
-    def has(self, txn: str | None) -> bool:
-        """True when a write with this id was committed before."""
-        commits = self._commits()
-        if txn is None or commits is None:
-            return False
-        return not commits.where(F.col("txn") == txn).isEmpty()
+        named = {str(b): v for b, v in folders.items()}  # keys of JSON maps are text
+        row = [(schema.json(), buckets, named, batches)]
+        pointer = self.spark.createDataFrame(row, _POINTER).coalesce(1)
+        pointer.write.mode("overwrite").json(f"{self.path}/pointer/{version}")
+
+    def _clean(self) -> None:
+        """Delete folders that only pointers before the last few name."""
+        versions = self._versions()[-KEPT_POINTERS:]
+        pointers = [f"{self.path}/pointer/{v}" for v in versions]
+        rows = self.spark.read.schema(_POINTER).json(pointers).collect()
+        named = {(int(b), v) for row in rows for b, v in (row["folders"] or {}).items()}
+        for version in self._names("data"):
+            own = {b for b, v in named if v == int(version)}
+            for name in self._names(f"data/{version}"):
+                if name.startswith(f"{_BUCKET}=") and int(name.partition("=")[2]) not in own:
+                    self._delete(f"data/{version}/{name}")
+            if not own and int(version) not in versions:
+                self._delete(f"data/{version}")
+        for version in self._names("pointer"):
+            if int(version) < versions[0]:
+                self._delete(f"pointer/{version}")
+        for version in self._names("staged"):
+            self._delete(f"staged/{version}")
+
+    def _delete(self, folder: str) -> None:
+        fs, path = hadoop_path(self.spark, f"{self.path}/{folder}")
+        fs.delete(path, True)
+
+    def merged(self, stream: str, batch: int) -> bool:
+        """True when this batch of a stream is in the corpus already."""
+        last = self._last()
+        return last is not None and (last[1]["batches"] or {}).get(stream, -1) >= batch
 
     # --- table -----------------------------------------------------------
 
     def exists(self) -> bool:
-        return self._last() is not None
+        return bool(self._versions())
 
     def ensure(self) -> None:
         """Create an empty corpus when there is none, otherwise do nothing."""
         if not self.exists():
-            self._start(0)
+            self._point(0, self.declared, self.buckets, {}, {})
 
     def recreate(self, confirmed: bool = False) -> None:
-        """Start over with an empty corpus; the data are lost to readers."""
+        """Start over with an empty corpus; data and merged batches are lost to readers."""
         if not confirmed:
             raise ValueError("recreate drops all documents: pass confirmed=True")
         last = self._last()
-        self._start(0 if last is None else last["seq"] + 1)
-
-    def _start(self, seq: int) -> None:
-        nothing = self.spark.createDataFrame([], self.declared)
-        self._write_base(nothing, seq, self.declared, empty=True)
+        self._point(0 if last is None else last[0] + 1, self.declared, self.buckets, {}, {})
 
     def evolve(self, schema: T.StructType) -> None:
         """Add fields. Old rows read null there until they are written again."""
@@ -239,114 +216,77 @@ class Corpus:
             self.declared = schema
             self.ensure()
             return
-        grown = evolved_schema(self._schema_of(last), schema)
-        self.declared = grown
-        self._commit(
-            last["seq"] + 1, grown, last["base"], last["deltas"], last["delta_rows"], last["empty"]
+        version, row = last
+        self.declared = evolved_schema(self._schema_of(row), schema)
+        self._point(
+            version + 1, self.declared, row["buckets"], row["folders"] or {}, row["batches"] or {}
         )
 
     @staticmethod
-    def _schema_of(commit: T.Row) -> T.StructType:
-        return T.StructType.fromJson(json.loads(commit["schema"]))
+    def _schema_of(pointer: T.Row) -> T.StructType:
+        return T.StructType.fromJson(json.loads(pointer["schema"]))
 
     def read(self) -> DataFrame:
         last = self._last()
         if last is None:
             raise FileNotFoundError(f"no corpus at {self.path}")
-        return self._read(last)
-
-    def _read(self, commit: T.Row) -> DataFrame:
-        # reading with the logged schema fills fields that older files do not have
-        schema = self._schema_of(commit)
-        base = self.spark.read.schema(schema).parquet(f"{self.path}/{commit['base']}")
-        if not commit["deltas"]:
-            return base
-        with_seq = T.StructType(schema.fields + [T.StructField(_SEQ, T.LongType())])
-        folders = [f"{self.path}/{d}" for d in commit["deltas"]]
-        changes = self.spark.read.schema(with_seq).parquet(*folders)
-        # at most max_delta_rows keys, counted when the deltas were written
-        keys = F.broadcast(changes.select("id").distinct())
-        newest = latest_per_key(changes, order=[F.col(_SEQ).desc()]).drop(_SEQ)
-        return base.join(keys, "id", "left_anti").unionByName(newest)
-
-    def _write_base(
-        self,
-        rows: DataFrame,
-        seq: int,
-        schema: T.StructType,
-        empty: bool = False,
-        txn: str | None = None,
-    ) -> None:
-        folder = f"base/s{seq}"
-        _shaped(rows, schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        self._commit(seq, schema, folder, empty=empty, txn=txn)
+        return self._read(last[1])
+
+    def _read(self, pointer: T.Row, only: Sequence[int] | None = None) -> DataFrame:
+        # reading with the pointer's schema fills fields that older files do not have
+        schema = self._schema_of(pointer)
+        folders = [
+            f"{self.path}/data/{v}/{_BUCKET}={b}"
+            for b, v in sorted((pointer["folders"] or {}).items())
+            if only is None or int(b) in only
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def _write(self, rows: DataFrame, schema: T.StructType, folder: str, buckets: int) -> list[int]:
+        """Write rows by bucket of the key; returns the buckets that got some."""
+        bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+        shaped = _shaped(rows, schema).withColumn(_BUCKET, bucket)
+        # files by bucket; large buckets are split and small ones put together
+        shaped.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(
+            f"{self.path}/{folder}"
+        )
+        names = [n for n in self._names(folder) if n.startswith(f"{_BUCKET}=")]
+        return sorted(int(n.partition("=")[2]) for n in names)
 
     def upsert(
-        self, documents: DataFrame, txn: str | None = None, unique: bool = False
+        self, documents: DataFrame, batch: tuple[str, int] | None = None, unique: bool = False
     ) -> int:
         """Merge documents by key; returns the number of keys written.
 
-        The incoming rows are written once before the merge: what an external model
-        computed for them is not computed again by the merge or by a lost executor.
-        A `txn` that was committed before is skipped, so replays are harmless. Rows
-        that are already one per key (`unique`) are not ranked again.
+        The incoming rows are written before the merge: what an external model computed for
+        them is not computed again by the merge or by a lost executor. A `batch` (stream,
+        number) that was merged before is skipped, so replays are harmless. Rows that are
+        already one per key (`unique`) are not ranked again.
         """
-        if self.has(txn):
+        if batch is not None and self.merged(*batch):
             return 0
-        last = self._last()
-        schema = self.declared if last is None else self._schema_of(last)
-        seq = 0 if last is None else last["seq"] + 1
-        seen = Observation()
+        self.ensure()
+        last, pointer = self._last()
+        version, buckets = last + 1, pointer["buckets"]
+        schema = self._schema_of(pointer)
+        folders = {int(b): v for b, v in (pointer["folders"] or {}).items()}
+        batches = dict(pointer["batches"] or {})
         newest = documents if unique else latest_per_key(documents)
-        newest = newest.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if last is None or last["empty"]:
-            folder = f"base/s{seq}"
-            _shaped(newest, schema).write.mode("overwrite").parquet(f"{self.path}/{folder}")
-            count = seen.get["rows"]
-            self._commit(seq, schema, folder, empty=count == 0, txn=txn)
-            return count
-
         supplied = T.StructType([f for f in schema.fields if f.name in documents.columns])
-        staged = f"{self.path}/staged/s{seq}"
-        _shaped(newest, supplied).write.mode("overwrite").parquet(staged)
-        count = seen.get["rows"]
-        incoming = self.spark.read.schema(supplied).parquet(staged)
-        stored = self._read(last)
-        delta_rows = last["delta_rows"] + count
-        if delta_rows > self.max_delta_rows:
-            self._write_base(upsert_rows(stored, incoming), seq, schema, txn=txn)
-            return count
-        deltas = list(last["deltas"])
-        if count:
-            # the number of incoming keys is known and within the bound
-            touched = stored.join(F.broadcast(incoming.select("id")), "id", "left_semi")
-            folder = f"deltas/s{seq}"
-            rows = _shaped(winning_versions(touched, incoming), schema)
-            rows.withColumn(_SEQ, F.lit(seq).cast("bigint")).write.mode("overwrite").parquet(
-                f"{self.path}/{folder}"
-            )
-            deltas.append(folder)
-        self._commit(seq, schema, last["base"], deltas, delta_rows, txn=txn)
+        fresh = not folders
+        target = f"data/{version}" if fresh else f"staged/{version}"
+        touched = self._write(newest, schema if fresh else supplied, target, buckets)
+        incoming = self.spark.read.schema(supplied).parquet(
+            *[f"{self.path}/{target}/{_BUCKET}={b}" for b in touched]
+        ) if touched else self.spark.createDataFrame([], supplied)
+        if touched and not fresh:
+            merged = merge_versions(self._read(pointer, touched), incoming)
+            self._write(merged, schema, f"data/{version}", buckets)
+        if batch is not None:
+            batches[batch[0]] = batch[1]
+        self._point(version, schema, buckets, folders | dict.fromkeys(touched, version), batches)
+        count = incoming.count()
+        self._clean()
         return count
-
-    def compact(self) -> None:
-        """Write base and deltas as one new base."""
-        last = self._last()
-        if last is not None and last["deltas"]:
-            self._write_base(self._read(last), last["seq"] + 1, self._schema_of(last))
-
-    def expire(self, keep: int = 10) -> None:
-        """Delete what only commits older than the last `keep` ones refer to."""
-        commits = self._commits()
-        if commits is None:
-            return
-        recent = commits.orderBy(F.desc("seq")).limit(keep).collect()
-        kept = {f for r in recent for f in [r["base"], *r["deltas"]]}
-        kept |= {f"commits/c{r['seq']}" for r in recent}
-        for name in ("base", "deltas", "staged", "commits"):
-            fs, root = hadoop_path(self.spark, f"{self.path}/{name}")
-            if not fs.exists(root):
-                continue
-            for status in fs.listStatus(root):
-                if f"{name}/{status.getPath().getName()}" not in kept:
-                    fs.delete(status.getPath(), True)

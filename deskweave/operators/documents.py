@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_gmt
 from ..functions.redaction import DEFAULT_RULES, Rule, redact_columns
 from ..functions.text import (
-    MAX_FIELD_BYTES,
     content,
     document_key,
     header,
@@ -36,9 +35,9 @@ def to_documents(
     records: DataFrame,
     base_url: str = "",
     rules: Sequence[Rule] = DEFAULT_RULES,
-    max_bytes: int = MAX_FIELD_BYTES,
+    max_bytes: int | None = None,
 ) -> DataFrame:
-    """Redact, then compose from the whole texts, then cut to the field limit.
+    """Redact, then compose from the whole texts; with `max_bytes` cut the texts to it.
 
     The projections are kept apart so that each redacted text is computed once and
     shared by its own column and by `content`.
@@ -77,7 +76,10 @@ def to_documents(
         "number",
         "url",
         "short_description",
-        *[truncate_bytes(F.col(name), max_bytes).alias(name) for name in cut],
+        *[
+            (F.col(name) if max_bytes is None else truncate_bytes(F.col(name), max_bytes)).alias(name)
+            for name in cut
+        ],
         "assignment_group",
         "assignment_group_name",
         "priority",
@@ -97,3 +99,12 @@ def with_content(documents: DataFrame) -> DataFrame:
 def with_vector(documents: DataFrame) -> DataFrame:
     """Drop documents that have no vector."""
     return documents.where(F.size("contentVector") > 0)
+
+
+def blank_record(base_url: str = ""):
+    """Condition: a flat record whose document would have empty content."""
+    texts = ["number", "assignment_group_name", *FREE_TEXT.values(), *(["sys_id"] if base_url else [])]
+    empty = parse_gmt(strip(F.col("closed_at"))).isNull()
+    for name in texts:
+        empty &= strip(or_empty(F.col(name))) == ""
+    return empty

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import truncate_chars, words
+from ..functions.text import words
+from ..functions.vectors import norm
 from .once import with_columns_once
 from .schema import DEFAULT_DIMENSIONS, VECTOR_FIELD
 
@@ -34,9 +34,10 @@ def embed_with(
 ) -> Column:
     """array<float> per text; empty texts get null and are not sent.
 
-    Only the model input is cut: by tokens when a tokenizer with encode/decode is
-    given, otherwise by characters. A call that keeps failing fails the task, which
-    Spark runs again.
+    A text longer than a model input is sent in consecutive windows, by tokens when a
+    tokenizer with encode/decode is given, otherwise by characters. Its vector is the mean
+    of the windows' vectors weighted by their lengths, scaled to length one. A call that
+    keeps failing fails the task, which Spark runs again.
     """
 
     @F.pandas_udf("array<float>")
@@ -44,35 +45,49 @@ def embed_with(
         embed = make_embedder()
         tokenizer = make_tokenizer() if make_tokenizer else None
 
-        def cut(body: str) -> str:
+        def windows(body: str) -> list[tuple[str, int]]:
+            """Inputs and their lengths."""
             if tokenizer is None:
-                return body
+                parts = [body[i : i + max_chars] for i in range(0, len(body), max_chars)]
+                return [(p, len(p)) for p in parts]
             tokens = tokenizer.encode(body)
-            return tokenizer.decode(tokens[:max_tokens]) if len(tokens) > max_tokens else body
+            if len(tokens) <= max_tokens:
+                return [(body, len(tokens))]
+            parts = [tokens[i : i + max_tokens] for i in range(0, len(tokens), max_tokens)]
+            return [(tokenizer.decode(p), len(p)) for p in parts]
 
-        def call(inputs: list[str]) -> list[list[float]]:
+        def call(inputs: list[str]) -> np.ndarray:
             for attempt in range(attempts):
                 try:
-                    vectors = embed(inputs)
+                    vectors = np.asarray(embed(inputs), np.float32)
                     if len(vectors) != len(inputs):
                         raise ValueError("an embedder must return one vector per text")
                     return vectors
                 except Exception:
                     if attempt == attempts - 1:
                         raise
-            return []
+            raise ValueError("attempts must be positive")
+
+        def mean(vectors: list[np.ndarray], lengths: list[int]) -> np.ndarray:
+            if len(vectors) == 1:
+                return vectors[0]
+            total = np.average(np.stack(vectors), axis=0, weights=lengths)
+            return (total / (np.linalg.norm(total) or 1.0)).astype(np.float32)
 
         for texts in batches:
-            out: list = [None] * len(texts)
-            rows = [i for i, body in enumerate(texts) if body]
-            for at in range(0, len(rows), call_texts):
-                part = rows[at : at + call_texts]
-                for i, vector in zip(part, call([cut(texts.iloc[i]) for i in part])):
-                    out[i] = [float(x) for x in vector]
-            yield pd.Series(out, dtype=object)
+            sent = [(i, *part) for i, body in enumerate(texts) if body for part in windows(body)]
+            found: dict[int, tuple[list, list]] = {}
+            for at in range(0, len(sent), call_texts):
+                part = sent[at : at + call_texts]
+                for (i, _, length), vector in zip(part, call([p for _, p, _ in part])):
+                    own = found.setdefault(i, ([], []))
+                    own[0].append(vector)
+                    own[1].append(length)
+            yield pd.Series(
+                [mean(*found[i]) if i in found else None for i in range(len(texts))], dtype=object
+            )
 
-    sent = text if make_tokenizer else truncate_chars(text, max_chars)
-    return run.asNondeterministic()(sent)
+    return run.asNondeterministic()(text)
 
 
 def embed_documents(
@@ -89,15 +104,24 @@ def hash_embed(
 ) -> DataFrame:
     """Offline model: hashed word counts of the whole text, scaled to length one.
 
-    Deterministic and JVM-side. Use the same function for documents and queries, so
-    that both live in one vector space.
+    Deterministic and JVM-side; words are hashed by MD5, so that any engine gives the same
+    vector. Use the same function for documents and queries, so that both live in one
+    vector space.
     """
-    counted = HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_counts")
-    scaled = Normalizer(inputCol="_counts", outputCol="_unit")
-    with_words = documents.withColumn("_words", words(F.col(column)))
-    vectors = scaled.transform(counted.transform(with_words))
-    array = F.when(F.size("_words") > 0, vector_to_array(F.col("_unit"), "float32"))
-    return with_columns_once(vectors, {VECTOR_FIELD: array}).drop("_words", "_counts", "_unit")
+    place = F.transform(
+        words(F.col(column)),
+        lambda w: (F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % dimensions),
+    )
+    counted = with_columns_once(documents, {"_places": place})
+    count = F.transform(
+        F.sequence(F.lit(0), F.lit(dimensions - 1)),
+        lambda i: (F.size("_places") - F.size(F.array_remove("_places", i))).cast("double"),
+    )
+    counted = with_columns_once(counted, {"_counts": F.when(F.size("_places") > 0, count)})
+    length = norm(F.col("_counts"))
+    scaled = with_columns_once(counted, {"_length": length})
+    unit = F.transform("_counts", lambda x: (x / F.col("_length")).cast("float"))
+    return with_columns_once(scaled, {VECTOR_FIELD: unit}).drop("_places", "_counts", "_length")
 
 
 def check_vectors(

@@ -10,6 +10,7 @@ values are then masked.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.personal_data import (
     LANGUAGES,
+    THRESHOLDS,
     detect_spans,
     mask_order,
     mask_values,
@@ -41,12 +43,25 @@ OCCURRENCES = "_pii_occurrences"
 
 
 def text_windows(text: str, size: int = CALL_CHARS, overlap: int = WINDOW_OVERLAP) -> list[str]:
-    """Consecutive windows over the whole text; a value up to `overlap` characters
-    long lies entirely inside at least one of them."""
-    if len(text) <= size:
-        return [text]
-    step = max(1, size - overlap)
-    return [text[i : i + size] for i in range(0, max(1, len(text) - overlap), step)]
+    """Consecutive windows over the whole text, cut at white space.
+
+    A value without white space, however long, and a value with white space of up to
+    `overlap` characters lie entirely inside at least one of them.
+    """
+    windows, start = [], 0
+    while True:
+        end = min(len(text), start + size)
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        windows.append(text[start:end])
+        if end == len(text):
+            return windows
+        # back to the beginning of a word, if there is one in reach
+        last, start = start, max(start + 1, end - overlap)
+        back = start
+        while back > last + 1 and back > start - overlap and not text[back - 1].isspace():
+            back -= 1
+        start = back if text[back - 1].isspace() else start
 
 
 def _values_of(
@@ -58,8 +73,8 @@ def _values_of(
         if len(found) != len(texts):
             raise ValueError("a detector must return one list per text")
         return [list(v) for v in found], [True] * len(texts)
-    except Exception:
-        pass
+    except Exception as error:  # any error of an external model; every text gets its own call
+        logging.getLogger("deskweave").warning("detector call failed: %r", error)
     values, oks = [], []
     for text, language in zip(texts, languages):
         for _ in range(attempts):
@@ -67,8 +82,8 @@ def _values_of(
                 values.append(list(detector([text], [language])[0]))
                 oks.append(True)
                 break
-            except Exception:
-                continue
+            except Exception as error:
+                logging.getLogger("deskweave").warning("detector failed on a text: %r", error)
         else:
             values.append([])
             oks.append(False)
@@ -166,6 +181,25 @@ def mask_by_values(df: DataFrame, values: Column, column: str = "content") -> Da
     return _masked(df, column, values, F.lit(True))
 
 
+def detect_names(
+    rows: DataFrame,
+    names: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    threshold: float = THRESHOLDS["PERSON"],
+) -> DataFrame:
+    """PERSON hits of a name dictionary (name, score): key, value, hits, score.
+
+    Words of the texts are counted by text before they are joined; of a name listed more
+    than once the best score counts, and names below the threshold are left out.
+    """
+    known = names.where("name <> ''").groupBy(F.col("name").alias("value"))
+    known = known.agg(F.max("score").alias("score")).where(F.col("score") >= threshold)
+    words = F.regexp_extract_all(or_empty(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    found = rows.select(key, F.explode(words).alias("value")).groupBy(key, "value")
+    return found.agg(F.count(F.lit(1)).alias("hits")).join(known, "value")
+
+
 def split_unmasked(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows fit to write, rows held back because detection failed)."""
     return df.where(F.col(MASKED_OK)), df.where(~F.col(MASKED_OK))

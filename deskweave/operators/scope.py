@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import minus_minutes, parse_mark
 from ..functions.text import all_of, any_of
-from ..sources.space import broadcast_if_small
 
 # States that mean closed, and the minutes a delta reads back.
 CLOSED_STATES = ("6", "7")
@@ -54,16 +53,24 @@ def in_scope(
     records: DataFrame, scope: Scope, mark: str | None = None, overlap_minutes: int = 0
 ) -> DataFrame:
     """Scope filter, and the delta predicate when there is a mark."""
-    clauses = [scope.condition()]
-    if mark:
-        clauses.append(since(mark, overlap_minutes))
-    return records.where(all_of(clauses))
+    chosen = records.where(scope.condition())
+    return changed_since(chosen, mark, overlap_minutes) if mark else chosen
+
+
+def changed_since(records: DataFrame, mark: str, overlap_minutes: int = 0) -> DataFrame:
+    """Rows at or after the mark. Landed records are kept by update day: days before the mark
+    are not listed. Undated rows never match."""
+    chosen = records.where(since(mark, overlap_minutes))
+    if "updated_day" in records.columns:
+        bound = minus_minutes(parse_mark(F.lit(mark)), overlap_minutes)
+        chosen = chosen.where(F.col("updated_day") >= F.to_date(bound))
+    return chosen
 
 
 def in_groups(records: DataFrame, groups: DataFrame, key: str = "sys_id") -> DataFrame:
     """Scope by a group table instead of a list."""
     keys = groups.select(F.col(key).alias("assignment_group")).distinct()
-    return records.join(broadcast_if_small(keys), "assignment_group", "left_semi")
+    return records.join(keys, "assignment_group", "left_semi")
 
 
 def with_group_labels(records: DataFrame, groups: DataFrame) -> DataFrame:
@@ -71,7 +78,7 @@ def with_group_labels(records: DataFrame, groups: DataFrame) -> DataFrame:
     labels = groups.select(
         F.col("sys_id").alias("assignment_group"), F.col("name").alias("group_label")
     ).dropDuplicates(["assignment_group"])
-    return records.join(broadcast_if_small(labels), "assignment_group", "left")
+    return records.join(labels, "assignment_group", "left")
 
 
 def find_groups(groups: DataFrame, terms: Sequence[str] = (), everything: bool = False) -> DataFrame:

@@ -19,12 +19,15 @@ from ..operators.scope import Scope, in_scope
 from ..sources.lists import read_evaluation_set, read_groups
 from ..sources.marks import MarkStore
 from ..sources.pages import (
+    PROFILE_FIELDS,
     RECORD_SCHEMA,
     flatten_cells,
     land_records,
     parse_pages,
     read_landed,
     read_pages,
+    read_table,
+    stream_pages,
 )
 from ..sources.space import fresh_dir
 from ..streaming.ingest_stream import ingest_stream, stream_landed
@@ -41,6 +44,7 @@ BACKFILL_DAY = "2024-01-02"
 SEARCH_TEXT = "Report src13 token the reports, tion: Password"
 EMAIL = redaction.Rule.from_python("email", r"[\w.+-]+@[\w-]+\.[\w.-]+", redaction.MASK)
 SECRET_WORD = "token = "
+CONFIDENCE = {"EMAIL_ADDRESS": 0.9, "PHONE_NUMBER": 0.5, "IBAN_CODE": 0.6, "IT_FISCAL_CODE": 0.5}
 FIRST_ROWS = 25
 TOP_DOCUMENTS = 10
 
@@ -154,15 +158,26 @@ def _pages(rows: DataFrame) -> DataFrame:
     def cell(value: Column, label: Column) -> Column:
         return F.struct(value.alias("value"), label.alias("display_value"))
 
-    padded = F.concat(F.lit("  "), F.col("description"), F.lit(" \n"))
+    def both(name: str) -> Column:
+        return cell(F.col(name), F.upper(name))
+
+    def label(name: str) -> Column:
+        return cell(F.lit(""), F.concat(F.lit("  "), F.col(name), F.lit(" \n")))
+
     record = F.struct(
         cell(F.col("number"), F.lit(None).cast("string")).alias("number"),
         F.col("sys_id").alias("sys_id"),
-        cell(F.lit(""), padded).alias("description"),
+        *[label(c).alias(c) for c in ("short_description", "description", "close_notes", "comments")],
+        F.col("work_notes").alias("work_notes"),
         cell(F.col("assignment_group"), F.col("assignment_group_name")).alias("assignment_group"),
-        cell(F.col("priority"), F.upper("priority")).alias("priority"),
-        cell(F.col("sys_updated_on"), F.lit("local time")).alias("sys_updated_on"),
-        F.when(F.col("doc_id") % 3 == 0, F.col("state")).alias("state"),
+        *[both(c).alias(c) for c in ("priority", "impact", "urgency")],
+        *[
+            cell(F.col(c), F.lit("local time")).alias(c)
+            for c in ("closed_at", "sys_updated_on")
+        ],
+        F.col("resolved_at").alias("resolved_at"),
+        F.col("state").alias("state"),
+        cell(F.col("cmdb_ci"), F.lit("an item")).alias("cmdb_ci"),
     )
     return (
         rows.groupBy(F.floor(F.col("doc_id") / 200).alias("page"))
@@ -173,22 +188,25 @@ def _pages(rows: DataFrame) -> DataFrame:
 
 @register
 def page_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = incidents(
+    """All cells of all records, parsed from page bodies."""
+    return flatten_cells(parse_pages(_pages(incidents(spark, sf_dir))))
+
+
+@register
+def field_profile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pages hold of the extended field list."""
+    cells_of = parse_pages(_pages(incidents(spark, sf_dir)), fields=PROFILE_FIELDS)
+    return profile.field_profile(cells_of, PROFILE_FIELDS)
+
+
+@register
+def other_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Another table with its own predicate and columns."""
+    return read_table(
         spark,
-        sf_dir,
-        FROM_DOCUMENTS + ("state", "priority", "sys_updated_on"),
-    )
-    flat = flatten_cells(parse_pages(_pages(rows)))
-    return flat.select(
-        "number",
-        "sys_id",
-        "description",
-        "assignment_group",
-        "assignment_group_name",
-        "priority",
-        "state",
-        "close_notes",
-        "updated_at",
+        f"{sf_dir}/customer.parquet",
+        (F.col("c_acctbal") < 0) & F.col("c_mktsegment").isin("BUILDING", "MACHINERY"),
+        ["c_custkey", "c_name", "c_mktsegment"],
     )
 
 
@@ -214,11 +232,10 @@ def cell_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page files read, flattened, landed by update day, and scanned from a mark on."""
     home = fresh_dir(spark, "pages")
-    rows = incidents(spark, sf_dir, FROM_DOCUMENTS + ("state", "priority", "sys_updated_on"))
-    _pages(rows).write.text(f"{home}/pages")
+    _pages(incidents(spark, sf_dir)).write.text(f"{home}/pages")
     landed = flatten_cells(read_pages(spark, f"{home}/pages", multi_line=False))
     land_records(landed, f"{home}/records")
-    fresh = read_landed(spark, f"{home}/records").where(scope.since(MARK, scope.OVERLAP_MINUTES))
+    fresh = scope.changed_since(read_landed(spark, f"{home}/records"), MARK, scope.OVERLAP_MINUTES)
     return fresh.select("number", "description", "priority", "updated_day")
 
 
@@ -236,13 +253,17 @@ def group_file_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def evaluation_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A question set written as CSV and read back, quotes and line ends included."""
+    """A question set below comment lines and a header, with quotes and line ends."""
     home = fresh_dir(spark, "evaluation")
+    line = F.lit(None).cast("string").alias("b")
+    top = spark.range(1).select(F.lit("# a comment, with a comma").alias("a"), line)
+    header = spark.range(1).select(F.lit("question").alias("a"), F.lit("expectedResponse").alias("b"))
     asked = table(spark, sf_dir, "benchmark").select(
-        F.concat(F.lit('"'), F.translate("text", "\n", " "), F.lit('", '), "item_id"),
-        F.concat(F.lit("answer, "), "item_id"),
+        F.concat(F.lit('"'), "text", F.lit('",\n'), "item_id").alias("a"),
+        F.concat(F.lit("answer, "), "item_id").alias("b"),
     )
-    asked.write.csv(home, quote='"', escape='"', quoteAll=True)
+    rows = top.unionByName(header).unionByName(asked)
+    rows.write.csv(home, quote='"', escape='"', quoteAll=True)
     return read_evaluation_set(spark, home)
 
 
@@ -388,15 +409,29 @@ def redact_then_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def pii_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = texts(spark, sf_dir)
-    spans = personal_data.confident_spans(personal_data.detect_spans(F.col("text")))
+    """All hits of all patterns, kept from a confidence per type on."""
+    every = {p.entity: 0.0 for p in personal_data.ENTITY_PATTERNS}
+    spans = personal_data.detect_spans(F.col("text"), thresholds=every)
+    kept = personal_data.confident_spans(spans, CONFIDENCE)
     return (
-        rows.select("doc_id", F.explode(spans).alias("s"))
+        texts(spark, sf_dir)
+        .select("doc_id", F.explode(kept).alias("s"))
         .groupBy("doc_id", F.col("s.type").alias("type"), F.col("s.value").alias("value"))
         .agg(F.count(F.lit(1)).alias("hits"), F.max("s.score").alias("score"))
     )
 
 
+@register
+def person_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of a name dictionary (first words of the benchmark texts) in all texts."""
+    names = table(spark, sf_dir, "benchmark").select(
+        F.regexp_extract("text", r"^[A-Za-z]+", 0).alias("name"),
+        (F.lit(0.3) + (F.col("item_id") % 3) * 0.1).alias("score"),
+    )
+    found = masking.detect_names(texts(spark, sf_dir), names)
+    return found.select("doc_id", "value", "hits", F.round("score", 6).alias("score"))
+
+
 @register
 def pii_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = texts(spark, sf_dir).select("doc_id", "text")
@@ -734,13 +769,68 @@ def stream_upsert_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(corpus.read())
 
 
+@register
+def stream_restart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own, one after the other into one corpus."""
+    home = fresh_dir(spark, "restart")
+    rows, names = incidents(spark, sf_dir), RECORD_SCHEMA.names
+    rows.select(*names).write.parquet(f"{home}/first")
+    _redelivered(rows).select(*names).write.parquet(f"{home}/second")
+    corpus = Corpus(spark, f"{home}/corpus", corpus_schema())
+    for part in ("first", "second"):
+        landed = stream_landed(spark, f"{home}/{part}", RECORD_SCHEMA)
+        options = Options(base_url=BASE_URL)
+        ingest_stream(landed, corpus, f"{home}/checkpoint-{part}", options).awaitTermination()
+    return _summary(corpus.read())
+
+
+def _imperfect(rows: DataFrame) -> DataFrame:
+    """Tickets of which some are blank and some undated."""
+    doc_id = F.col("doc_id")
+    emptied = {c: F.when(doc_id % 40 != 5, F.col(c)) for c in _record_columns() if c != "state"}
+    emptied["sys_updated_on"] = F.when(doc_id % 50 != 3, F.col("sys_updated_on"))
+    return rows.withColumns(emptied)
+
+
+@register
+def pages_to_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed and scoped, their documents masked, embedded and merged; then the same
+    pages again as a stream, which changes nothing. Counters of the run, state of the corpus."""
+    corpus, marks = _ingest(spark, "pages-corpus")
+    home = fresh_dir(spark, "pages-landed")
+    _pages(_imperfect(incidents(spark, sf_dir))).write.text(f"{home}/pages")
+    cells_of = flatten_cells(read_pages(spark, f"{home}/pages", multi_line=False))
+    land_records(cells_of, f"{home}/records")
+    options = Options(
+        base_url=BASE_URL,
+        mask=lambda df: masking.mask_by_detector(df, make_failing_detector),
+        embed=lambda df: embedding.hash_embed(df, dimensions=32),
+    )
+    stats = run_ingest(read_landed(spark, f"{home}/records"), corpus, marks, options, full=True)
+    again = flatten_cells(stream_pages(spark, f"{home}/pages", multi_line=False))
+    ingest_stream(again, corpus, f"{home}/checkpoint", options, marks).awaitTermination()
+    state = corpus.read().agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.size("contentVector") == 32).alias("vectors"),
+        F.count_if(~F.col(MASKED_OK)).alias("unmasked"),
+        F.sum(F.length("content")).alias("chars"),
+        F.lit(marks.read()).alias("saved_mark"),
+    )
+    return state.withColumns(stats.columns())
+
+
 # --- vectors and search -----------------------------------------------------
 
 
 @register
 def hash_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offline vectors as their non-zero places."""
     rows = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
-    return embedding.hash_embed(rows, "text", 256).select("id", "contentVector")
+    vectors = embedding.hash_embed(rows, "text", 256)
+    places = F.posexplode("contentVector").alias("place", "value")
+    return vectors.select("id", places).where("value <> 0").select(
+        "id", "place", F.round(F.col("value").cast("double"), 4).alias("value")
+    )
 
 
 @register
@@ -776,7 +866,7 @@ def model_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.select(
         "doc_id",
         *[
-            F.col("contentVector")[i].cast("bigint").alias(name)
+            F.round(F.col("contentVector")[i].cast("double"), 4).alias(name)
             for i, name in enumerate(("chars", "blanks", "letters_e"))
         ],
     )
@@ -809,8 +899,8 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = incidents(spark, sf_dir, FROM_DOCUMENTS)
-    return rows.withColumn("id", text.document_key(F.col("number")))
+    """What a search may see: redacted and masked documents of all tickets."""
+    return masking.mask_by_pattern(to_documents(incidents(spark, sf_dir), BASE_URL))
 
 
 @register
@@ -820,46 +910,23 @@ def vector_text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     def embed(df: DataFrame, column: str) -> DataFrame:
         return embedding.hash_embed(df, column, 256)
 
-    corpus = embed(_search_corpus(spark, sf_dir), "description")
+    corpus = embed(_search_corpus(spark, sf_dir), "content")
     found = search.nearest_text(corpus, SEARCH_TEXT, embed, TOP_DOCUMENTS)
     return found.select("id", "number", "score")
 
 
-@register
-def cosine_topk_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Approximate neighbours of the same vector."""
-    vectors = table(spark, sf_dir, "embeddings")
-    wanted = vectors.where("vec_id = 0").select("embedding").first()[0]
-    found = search.nearest_approx(vectors, wanted, TOP_DOCUMENTS, "embedding")
-    return found.select("vec_id", "label", "score")
-
-
 @register
 def fulltext_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ("short_description", "description", "assignment_group_name")
-    return search.search(_search_corpus(spark, sf_dir), SEARCH_TEXT, TOP_DOCUMENTS, fields)
+    return search.search(_search_corpus(spark, sf_dir), SEARCH_TEXT, TOP_DOCUMENTS)
 
 
 @register
 def batch_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best documents of every question of a question table."""
-    questions = table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("qid"), F.col("text").alias("question")
-    )
-    return search.rank_text(
-        _search_corpus(spark, sf_dir), questions, search.TOP, ("description",)
-    )
-
-
-@register
-def indexed_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from a stored index."""
-    home = fresh_dir(spark, "index")
-    search.write_index(_search_corpus(spark, sf_dir), home, ("description",), 16, 2)
+    """Best documents of every question of a question table, over all searchable fields."""
     questions = table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("qid"), F.col("text").alias("question")
     )
-    return search.rank_index(spark, home, questions)
+    return search.rank_text(_search_corpus(spark, sf_dir), questions)
 
 
 # --- browsing ---------------------------------------------------------------

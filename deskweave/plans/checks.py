@@ -6,11 +6,35 @@ where Spark aggregates, list functions where Spark explodes.
 
 from __future__ import annotations
 
-from ..functions.personal_data import ENTITY_PATTERNS
-from ..functions.redaction import DEFAULT_RULES
 from . import catalog
 from .desk_tables import BASE_URL
 
+# Fixed values, written down here a second time so that a wrong pattern of the engine shows:
+# (entity, pattern, score) and (pattern, replacement).
+ENTITIES = (
+    ("EMAIL_ADDRESS", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+", 1.0),
+    (
+        "PHONE_NUMBER",
+        r"\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9](?:[ .\-]?[0-9]){5,11}",
+        0.4,
+    ),
+    ("IBAN_CODE", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}", 0.6),
+    ("IT_FISCAL_CODE", r"[A-Z]{6}[0-9]{2}[ABCDEHLMPRST][0-9]{2}[A-Z][0-9]{3}[A-Z]", 0.8),
+)
+CONNECTION = (
+    r"\b([A-Za-z0-9_.$#]+)/[^/@\s]+@([A-Za-z0-9_.\-]+(?::\d+)?(?:/[A-Za-z0-9_.\-]+)?)",
+    r"\1/[REDACTED]@\2",
+)
+IDENTIFIED = (
+    r"(IDENTIFIED\s+BY\s+)(?:VALUES\s+)?(?:'[^']*'|\"[^\"]*\"|[^\s;]+)",
+    r"\1[REDACTED]",
+)
+PASSWORD = (
+    r"\b(pass(?:word)?|pwd)\b\s*[:=]\s*(?:'[^']*'|\"[^\"]*\"|\S+)",
+    r"\1=[REDACTED]",
+)
+RULES = (CONNECTION, IDENTIFIED, PASSWORD)
+
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160)"
 
 
@@ -50,13 +74,23 @@ incident AS (
     e.ts AS updated_at,
     c.close_notes, c.work_notes, c.comments
   FROM documents d
-  LEFT JOIN orders o ON o.o_orderkey = d.doc_id
-  LEFT JOIN events e ON e.event_id = d.doc_id
+  LEFT JOIN (
+    SELECT * FROM (SELECT *, o_orderkey % (SELECT count(*) FROM documents) AS ticket FROM orders)
+    QUALIFY row_number() OVER (
+      PARTITION BY ticket ORDER BY o_totalprice DESC NULLS LAST, o_orderkey DESC) = 1
+  ) o ON o.ticket = d.doc_id
+  LEFT JOIN (
+    SELECT * FROM (SELECT *, event_id % (SELECT count(*) FROM documents) AS ticket FROM events)
+    QUALIFY row_number() OVER (
+      PARTITION BY ticket ORDER BY value DESC NULLS LAST, event_id DESC) = 1
+  ) e ON e.ticket = d.doc_id
   LEFT JOIN (
     SELECT conv_id,
       arg_max(text, turn) FILTER (WHERE role = 'assistant') AS close_notes,
-      arg_min(text, turn) FILTER (WHERE role = 'assistant') AS work_notes,
-      arg_min(text, turn) FILTER (WHERE role = 'user') AS comments
+      coalesce(string_agg(text, '|' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '')
+        AS work_notes,
+      coalesce(string_agg(text, '|' ORDER BY turn, text) FILTER (WHERE role = 'user'), '')
+        AS comments
     FROM conversations GROUP BY conv_id
   ) c ON c.conv_id = d.doc_id % (SELECT count(DISTINCT conv_id) FROM conversations)
 )"""
@@ -86,11 +120,10 @@ def iso(x: str) -> str:
 
 
 def apply_rule(x: str, rule) -> str:
-    replacement = rule.replacement.replace("$1", r"\1").replace("$2", r"\2")
-    return f"regexp_replace({x}, {_text(rule.pattern)}, {_text(replacement)}, 'gi')"
+    return f"regexp_replace({x}, {_text(rule[0])}, {_text(rule[1])}, 'gi')"
 
 
-def redacted(x: str, rules=DEFAULT_RULES) -> str:
+def redacted(x: str, rules=RULES) -> str:
     for rule in rules:
         x = apply_rule(x, rule)
     return x
@@ -123,10 +156,6 @@ def document_ctes(source: str, prefix: str = "") -> str:
             "urgency",
         )
     )
-    cut = ", ".join(
-        f"{cut_bytes(c, 30000)} AS {c}"
-        for c in ("description", "resolution", "work_notes", "comments", "content")
-    )
     return rf"""
 {prefix}clean AS (
   SELECT {plain},
@@ -148,7 +177,7 @@ def document_ctes(source: str, prefix: str = "") -> str:
   FROM {prefix}clean
 ),
 {prefix}document AS (
-  SELECT {key("number")} AS id, number, url, short_description, {cut},
+  SELECT {key("number")} AS id, number, url, short_description, description, resolution, work_notes, comments, content,
     assignment_group, assignment_group_name, priority, impact, urgency, closed_at,
     updated_at, doc_id
   FROM {prefix}whole
@@ -200,7 +229,7 @@ def _merged(condition: str) -> str:
 def _detected(x: str) -> str:
     """List of all pattern hits of a text."""
     return "list_concat(" + ", ".join(
-        f"regexp_extract_all({x}, {_text(p.regex)})" for p in ENTITY_PATTERNS
+        f"regexp_extract_all({x}, {_text(regex)})" for _, regex, _ in ENTITIES
     ) + ")"
 
 
@@ -228,15 +257,33 @@ counted AS (
 )"""
 
 
-def _bm25(corpus: str, fields: tuple[str, ...], questions: str, k: int) -> str:
+SEARCHED = (
+    "number",
+    "short_description",
+    "description",
+    "resolution",
+    "work_notes",
+    "comments",
+    "content",
+    "assignment_group_name",
+)
+# redacted documents of all tickets with masked content
+MASKED_DOCUMENTS = (
+    INCIDENT,
+    document_ctes("incident"),
+    _mask_ctes("document", "id", "content"),
+    "searched AS (SELECT d.* REPLACE (m.text AS content) FROM document d JOIN masked m USING (id))",
+)
+
+
+def _bm25(questions: str, k: int) -> str:
     parts = " UNION ALL ".join(
         f"SELECT id, '{f}' AS field, list_filter(regexp_split_to_array(lower({f}), "
-        rf"'[^\p{{L}}\p{{N}}]+'), lambda t: t <> '') AS tokens FROM {corpus}"
-        for f in fields
+        rf"'[^\p{{L}}\p{{N}}]+'), lambda t: t <> '') AS tokens FROM searched"
+        for f in SEARCHED
     )
     return _with(
-        INCIDENT,
-        f"searched AS (SELECT *, {key('number')} AS id FROM incident)",
+        *MASKED_DOCUMENTS,
         f"part AS ({parts})",
         "stat AS (SELECT field, count(*) AS n_docs, avg(len(tokens)) AS avg_dl "
         "FROM part GROUP BY field)",
@@ -264,14 +311,35 @@ BENCHMARK = "SELECT item_id AS qid, text AS question FROM benchmark"
 PROFILED = [c for c in catalog._record_columns() if c != "updated_at"]
 
 
-def _profile(field: str) -> str:
-    value = f"translate(coalesce({field}, ''), chr(13) || chr(10), '  ')"
+JOURNALS = ("short_description", "description", "close_notes", "work_notes", "comments")
+# fields of the extended list that the pages hold, as label or else value
+CELLS = {
+    "number": "number",
+    **{c: strip(c) for c in JOURNALS},
+    "cmdb_ci": "'an item'",
+    "assignment_group": "assignment_group_name",
+    **{c: f"upper({c})" for c in ("priority", "urgency", "impact")},
+    "resolved_at": "resolved_at",
+    **{c: "'local time'" for c in ("closed_at", "sys_updated_on")},
+}
+# The extended field list.
+PROFILED_CELLS = (
+    "number short_description description close_notes comments work_notes "
+    "comments_and_work_notes category subcategory u_category cmdb_ci business_service "
+    "service_offering assignment_group assigned_to priority severity urgency impact "
+    "contact_type resolved_at closed_at opened_at sys_created_on sys_updated_on resolved_by "
+    "closed_by caller_id company location"
+).split()
+
+
+def _profile(field: str, shown: str | None = None) -> str:
+    value = f"translate(coalesce({shown or field}, ''), chr(13) || chr(10), '  ')"
     short = f"CASE WHEN length(t) > 80 THEN substr(t, 1, 80) || ' […]' ELSE t END"
     return f"""SELECT '{field}' AS field, count(*) AS records,
   count(*) FILTER (WHERE p) AS present, count(*) FILTER (WHERE t <> '') AS filled,
   max(length(t)) AS max_length, round(avg(length(t)), 6) AS avg_length,
   min({short}) FILTER (WHERE t <> '') AS example
-FROM (SELECT {field} IS NOT NULL AS p, {value} AS t FROM incident)"""
+FROM (SELECT {"TRUE" if shown else f"{field} IS NOT NULL"} AS p, {value} AS t FROM incident)"""
 
 
 # field -> (searchable, filterable, retrievable)
@@ -311,9 +379,9 @@ def _field_report() -> list[str]:
 def all_checks() -> dict[str, str]:
     number_iso = f"SELECT number, closed_at, {iso(closed('closed_at'))} AS closed_iso"
     base = f"'{BASE_URL}"
-    email = apply_rule("description", catalog.EMAIL)
-    email = email.replace(
-        r"[\w.+-]+@[\w-]+\.[\w.-]+", r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]+"
+    email = apply_rule(
+        "description",
+        (r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+\.[\p{L}\p{N}_.-]+", "[REDACTED]"),
     )
     one_line = "translate(text, chr(13) || chr(10), '  ')"
     in_scope_docs = _with(
@@ -328,7 +396,7 @@ def all_checks() -> dict[str, str]:
         document_ctes("chosen"),
         _mask_ctes("document", "id", "content"),
     )
-    emails = _text(ENTITY_PATTERNS[0].regex)
+    emails = _text(ENTITIES[0][1])
     mask_emails = (
         f"list_reduce(list_prepend(text, list_transform(list_sort(list_transform("
         f"list_distinct(regexp_extract_all(text, {emails})), "
@@ -369,10 +437,18 @@ FROM document GROUP BY 1, 2""",
         "group_search_all": _with(DOC_GROUPS)
         + "SELECT sys_id, name FROM desk_group WHERE active",
         "page_cells": _with(INCIDENT)
-        + f"""SELECT number, sys_id, {strip("description")} AS description, assignment_group,
-  assignment_group_name, upper(priority) AS priority,
-  CASE WHEN doc_id % 3 = 0 THEN state ELSE '' END AS state, '' AS close_notes,
-  strptime(sys_updated_on, '%Y-%m-%d %H:%M:%S') AS updated_at FROM incident""",
+        + f"""SELECT number, sys_id, {", ".join(f"{strip(c)} AS {c}" for c in JOURNALS)},
+  assignment_group, assignment_group_name, upper(priority) AS priority, upper(impact) AS impact,
+  upper(urgency) AS urgency, coalesce(closed_at, '') AS closed_at, resolved_at, sys_updated_on,
+  state, cmdb_ci, strptime(sys_updated_on, '%Y-%m-%d %H:%M:%S') AS updated_at FROM incident""",
+        "field_profile_cells": _with(INCIDENT)
+        + " UNION ALL ".join(
+            _profile(f, CELLS[f]) if f in CELLS
+            else f"SELECT '{f}', count(*), 0, 0, 0, 0.0, NULL FROM incident"
+            for f in PROFILED_CELLS
+        ),
+        "other_table_scan": """SELECT c_custkey, c_name, c_mktsegment FROM customer
+WHERE c_acctbal < 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY')""",
         "landed_pages": _with(INCIDENT)
         + f"""SELECT number, {strip("description")} AS description,
   upper(priority) AS priority, CAST(updated_at AS DATE) AS updated_day FROM incident
@@ -380,8 +456,8 @@ WHERE date_trunc('second', updated_at) >= TIMESTAMP '{catalog.MARK}' - INTERVAL
         "group_file_scope": _with(INCIDENT, DOC_GROUPS)
         + "SELECT name AS group_label, count(*) AS tickets FROM incident i "
         "JOIN desk_group g ON g.sys_id = i.assignment_group WHERE active GROUP BY name",
-        "evaluation_file": """SELECT '"' || replace(text, chr(10), ' ') || '", ' || item_id
-  AS question, 'answer, ' || item_id AS expected_response FROM benchmark""",
+        "evaluation_file": """SELECT '"' || text || '",' || chr(10) || item_id AS question,
+  'answer, ' || item_id AS expected_response FROM benchmark""",
         "cell_fallback": """WITH c AS (
   SELECT doc_id,
     CASE WHEN doc_id % 5 = 0 OR doc_id % 2 = 0 THEN source ELSE '' END AS value,
@@ -431,10 +507,10 @@ FROM t""",
             name: _with(INCIDENT)
             + f"SELECT number, {redacted('description', rules)} AS redacted FROM incident"
             for name, rules in {
-                "redact_connstr": DEFAULT_RULES[0:1],
-                "redact_identified": DEFAULT_RULES[1:2],
-                "redact_password": DEFAULT_RULES[2:3],
-                "redact_chain": DEFAULT_RULES,
+                "redact_connstr": (CONNECTION,),
+                "redact_identified": (IDENTIFIED,),
+                "redact_password": (PASSWORD,),
+                "redact_chain": RULES,
             }.items()
         },
         "redact_custom_email": _with(INCIDENT)
@@ -447,9 +523,10 @@ FROM t""",
         + "SELECT number, text AS redacted FROM masked",
         "pii_detect": "WITH s AS ("
         + " UNION ALL ".join(
-            f"SELECT doc_id, '{p.entity}' AS type, CAST({p.score} AS DOUBLE) AS score, "
-            f"unnest(regexp_extract_all(text, {_text(p.regex)})) AS value FROM documents"
-            for p in ENTITY_PATTERNS
+            f"SELECT doc_id, '{entity}' AS type, CAST({score} AS DOUBLE) AS score, "
+            f"unnest(regexp_extract_all(text, {_text(regex)})) AS value FROM documents"
+            for entity, regex, score in ENTITIES
+            if score >= {"EMAIL_ADDRESS": 0.9, "PHONE_NUMBER": 0.5, "IBAN_CODE": 0.6}.get(entity, 0.5)
         )
         + ") SELECT doc_id, type, value, count(*) AS hits, max(score) AS score FROM s "
         "GROUP BY doc_id, type, value",
@@ -522,6 +599,40 @@ FROM incident WHERE state IN ('6','7')""",
   CAST(sum(n) AS BIGINT) AS pii_values_masked,
   count(*) FILTER (WHERE occurrences > 0) AS pii_docs_with_pii,
   CAST(0 AS BIGINT) AS pii_failures, CAST(0 AS BIGINT) AS undated FROM counted""",
+        "stream_restart_state": _merged("state IN ('6', '7')"),
+        "pages_to_corpus": _with(
+            INCIDENT,
+            """imperfect AS (SELECT * REPLACE (
+  CASE WHEN blank THEN NULL ELSE number END AS number, CASE WHEN blank THEN NULL ELSE sys_id END AS sys_id,
+  CASE WHEN blank THEN NULL ELSE short_description END AS short_description,
+  CASE WHEN blank THEN NULL ELSE description END AS description,
+  CASE WHEN blank THEN NULL ELSE close_notes END AS close_notes,
+  CASE WHEN blank THEN NULL ELSE work_notes END AS work_notes,
+  CASE WHEN blank THEN NULL ELSE comments END AS comments,
+  CASE WHEN blank THEN NULL ELSE assignment_group_name END AS assignment_group_name,
+  CASE WHEN blank THEN NULL ELSE closed_at END AS closed_at,
+  CASE WHEN doc_id % 50 = 3 THEN NULL ELSE date_trunc('second', updated_at) END AS updated_at)
+  FROM (SELECT *, doc_id % 40 = 5 AS blank FROM incident) WHERE state IN ('6', '7'))""",
+            "kept AS (SELECT * FROM imperfect WHERE NOT blank)",
+            document_ctes("kept"),
+            f"""refused AS (SELECT id, content AS before, contains(content, '{catalog.SECRET_WORD}') AS bad,
+  CASE WHEN bad THEN [] ELSE list_distinct(regexp_extract_all(content, {emails})) END AS vals FROM document)""",
+            """masked AS (SELECT *, list_reduce(list_prepend(before, list_transform(list_sort(list_transform(
+  vals, lambda v: {'k': -length(v), 'v': v})), lambda s: s.v)), lambda a, v: replace(a, v, '[PII]')) AS after
+  FROM refused)""",
+            """counted AS (SELECT *, (length(replace(after, '[PII]', '[PII]+')) - length(after))
+  - (length(replace(before, '[PII]', '[PII]+')) - length(before)) AS occurrences FROM masked)""",
+        )
+        + """SELECT 'full' AS mode, (SELECT count(*) FROM imperfect) AS read, count(*) AS transformed,
+  (SELECT count(*) FROM imperfect WHERE blank) AS skipped_empty, count(*) AS written,
+  CAST(NULL AS VARCHAR) AS previous_watermark,
+  (SELECT strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') FROM imperfect) AS new_watermark,
+  CAST(sum(occurrences) AS BIGINT) AS pii_occurrences_masked,
+  CAST(sum(len(vals)) AS BIGINT) AS pii_values_masked,
+  count(*) FILTER (WHERE occurrences > 0) AS pii_docs_with_pii, count(*) FILTER (WHERE bad) AS pii_failures,
+  (SELECT count(*) FROM imperfect WHERE updated_at IS NULL) AS undated, count(*) AS documents,
+  count(*) AS vectors, count(*) FILTER (WHERE bad) AS unmasked, CAST(sum(length(after)) AS BIGINT) AS chars,
+  (SELECT strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') FROM imperfect) AS saved_mark FROM counted""",
         "full_mode": _with(INCIDENT)
         + f"""SELECT count(*) AS documents, 'full' AS mode,
   strftime(max(updated_at), '%Y-%m-%d %H:%M:%S') AS saved_mark
@@ -533,10 +644,31 @@ FROM incident WHERE state IN ('6','7') AND updated_at >= TIMESTAMP '{catalog.BAC
         "delta_equals_full": _with(*DOCUMENTS) + f"{SUMMARY} FROM document",
         "hash_vector_check": r"""SELECT doc_id AS id, CAST(256 AS BIGINT) AS dimensions,
   CAST(1.0 AS DOUBLE) AS norm FROM documents WHERE regexp_matches(text, '[\p{L}\p{N}]')""",
-        "model_vectors": """SELECT doc_id, CAST(length(substr(text, 1, 24000)) AS BIGINT) AS chars,
-  length(substr(text, 1, 24000)) - length(replace(substr(text, 1, 24000), ' ', '')) AS blanks,
-  length(substr(text, 1, 24000)) - length(replace(substr(text, 1, 24000), 'e', '')) AS letters_e
-FROM documents WHERE lang <> 'fr' AND text <> ''""",
+        "hash_vectors": r"""WITH word AS (
+  SELECT doc_id AS id, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'),
+    lambda t: t <> '')) AS w FROM documents),
+counted AS (
+  SELECT id, ('0x' || substr(md5(w), 1, 6))::INT % 256 AS place, count(*) AS n FROM word GROUP BY ALL)
+SELECT id, CAST(place AS INTEGER) AS place,
+  round(n / sqrt(sum(n * n) OVER (PARTITION BY id)), 4) AS value FROM counted""",
+        "model_vectors": """WITH part AS (
+  SELECT doc_id, substr(text, s::BIGINT, 24000) AS p, length(text) AS n
+  FROM documents, unnest(range(1, length(text) + 1, 24000)) AS t(s)
+  WHERE lang <> 'fr' AND text <> ''),
+mean AS (
+  SELECT doc_id, count(*) AS parts, sum(length(p) * length(p)) / max(n) AS a,
+    sum(length(p) * (length(p) - length(replace(p, ' ', '')))) / max(n) AS b,
+    sum(length(p) * (length(p) - length(replace(p, 'e', '')))) / max(n) AS c
+  FROM part GROUP BY doc_id),
+scaled AS (SELECT *, CASE WHEN parts = 1 THEN 1 ELSE sqrt(a * a + b * b + c * c) END AS z FROM mean)
+SELECT doc_id, round(a / z, 4) AS chars, round(b / z, 4) AS blanks, round(c / z, 4) AS letters_e
+FROM scaled""",
+        "person_detect": r"""WITH name AS (
+  SELECT regexp_extract(text, '^[A-Za-z]+') AS value, max(0.3 + (item_id % 3) * 0.1) AS score
+  FROM benchmark GROUP BY 1 HAVING value <> '' AND score >= 0.4),
+word AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS value FROM documents)
+SELECT doc_id, value, count(*) AS hits, round(CAST(any_value(score) AS DOUBLE), 6) AS score
+FROM word JOIN name USING (value) GROUP BY doc_id, value""",
         "content_filter": """SELECT count(*) AS documents,
   CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
 WHERE lang <> 'de' AND text <> ''""",
@@ -548,17 +680,23 @@ WHERE lang <> 'de' AND text <> ''""",
     (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 6) AS score
 FROM embeddings ORDER BY score DESC, vec_id LIMIT {catalog.TOP_DOCUMENTS}""",
         "fulltext_topk": _bm25(
-            "searched",
-            ("short_description", "description", "assignment_group_name"),
-            f"SELECT 0 AS qid, {_text(catalog.SEARCH_TEXT)} AS question",
-            catalog.TOP_DOCUMENTS,
+            f"SELECT 0 AS qid, {_text(catalog.SEARCH_TEXT)} AS question", catalog.TOP_DOCUMENTS
         )
-        + "SELECT CAST(rank AS INTEGER) AS rank, id, number, short_description, assignment_group_name, score "
-        "FROM ranked JOIN searched USING (id)",
-        "batch_retrieval": _bm25("searched", ("description",), BENCHMARK, 5)
-        + "SELECT qid, id, score, CAST(rank AS INTEGER) AS rank FROM ranked",
-        "indexed_retrieval": _bm25("searched", ("description",), BENCHMARK, 5)
+        + "SELECT CAST(rank AS INTEGER) AS rank, id, number, short_description, "
+        "assignment_group_name, score FROM ranked JOIN searched USING (id)",
+        "batch_retrieval": _bm25(BENCHMARK, 5)
         + "SELECT qid, id, score, CAST(rank AS INTEGER) AS rank FROM ranked",
+        "vector_text_topk": _with(*MASKED_DOCUMENTS)
+        + rf""", question AS (SELECT '' AS id, {_text(catalog.SEARCH_TEXT)} AS content),
+word AS (
+  SELECT id, unnest(list_filter(regexp_split_to_array(lower(content), '[^\p{{L}}\p{{N}}]+'),
+    lambda t: t <> '')) AS w FROM (SELECT id, content FROM searched UNION ALL FROM question)),
+tally AS (
+  SELECT id, ('0x' || substr(md5(w), 1, 6))::INT % 256 AS place, count(*) AS n FROM word GROUP BY ALL),
+unit AS (SELECT id, place, n / sqrt(sum(n * n) OVER (PARTITION BY id)) AS x FROM tally)
+SELECT d.id, any_value(number) AS number, round(sum(d.x * q.x), 6) AS score
+FROM unit d JOIN unit q ON d.place = q.place AND q.id = '' JOIN searched s ON s.id = d.id
+GROUP BY d.id ORDER BY score DESC, d.id LIMIT {catalog.TOP_DOCUMENTS}""",
         "doc_count": "SELECT count(*) AS documents FROM documents",
         "facets": _with(INCIDENT)
         + " UNION ALL ".join(

@@ -1,9 +1,11 @@
 """Ticket records derived from the generic test tables.
 
 documents give the ticket texts and groups, orders the state and priority, events the
-times and severities, conversations the journals. Only the tables whose columns are
-asked for are joined. All joins are left joins on unique keys, so the number of
-tickets does not depend on the columns.
+times and severities, conversations the journals. Orders and events, of which there are
+more, are dealt to the tickets by their keys, and each ticket takes the dearest order and
+the event of most value of its own. Only the tables whose columns are asked for are
+joined. All joins are left joins on unique keys, so the number of tickets does not depend
+on the columns.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import format_gmt
-from ..sources.space import spread_small
 
 BASE_URL = "https://desk.example.com"
 
@@ -38,9 +39,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents table, with its rows over all cores even when it is one small file."""
-    path = f"{sf_dir.rstrip('/')}/documents.parquet"
-    return spread_small(spark.read.parquet(path), path, "doc_id")
+    """The documents table."""
+    return table(spark, sf_dir, "documents")
 
 
 def ticket_number(doc_id: Column) -> Column:
@@ -63,25 +63,33 @@ def secret(doc_id: Column) -> Column:
 
 
 def _journals(conversations: DataFrame) -> DataFrame:
-    """One row per conversation; keeps single turns, so nothing is collected."""
+    """One row per conversation with all its turns, in order; bounded by the conversation."""
 
-    def of(role: str, name: str) -> Column:
-        return F.when(F.col("role") == role, F.col(name))
+    def of(role: str) -> Column:
+        turns = F.collect_list(F.when(F.col("role") == role, F.struct("turn", "text")))
+        return F.array_join(F.transform(F.array_sort(turns), lambda t: t["text"]), "|")
 
+    last = F.when(F.col("role") == "assistant", F.struct("turn", "text"))
     return conversations.groupBy(F.col("conv_id").alias("journal_id")).agg(
-        F.max_by(of("assistant", "text"), of("assistant", "turn")).alias("close_notes"),
-        F.min_by(of("assistant", "text"), of("assistant", "turn")).alias("work_notes"),
-        F.min_by(of("user", "text"), of("user", "turn")).alias("comments"),
+        F.max(last)["text"].alias("close_notes"),
+        of("assistant").alias("work_notes"),
+        of("user").alias("comments"),
     )
 
 
+def _one_each(rows: DataFrame, key: str, weight: str, documents: Column) -> DataFrame:
+    """All rows dealt to the tickets by key; each ticket keeps the one of most weight."""
+    best = F.max_by(F.struct(*rows.columns), F.struct(weight, key))
+    return rows.groupBy((F.col(key) % documents).alias("doc_id")).agg(best.alias("r"))
+
+
 def incidents(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = ALL_COLUMNS
 ) -> DataFrame:
     """Flat ticket records with the columns asked for."""
     doc_id, wanted = F.col("doc_id"), set(columns)
-    heavy = wanted & {"description", *FROM_CONVERSATIONS}
-    documents = texts(spark, sf_dir) if heavy else table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir)
+    tickets = documents.agg(F.count(F.lit(1))).scalar()
     rows = documents.select(
         doc_id,
         F.md5(doc_id.cast("string")).alias("sys_id"),
@@ -94,8 +102,9 @@ def incidents(
         F.concat(F.lit("HD "), F.col("source")).alias("assignment_group_name"),
     )
     if wanted & set(FROM_ORDERS):
-        orders = table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("doc_id"),
+        orders = _one_each(table(spark, sf_dir, "orders"), "o_orderkey", "o_totalprice", tickets)
+        orders = orders.select("doc_id", "r.*").select(
+            "doc_id",
             F.when(F.col("o_orderstatus") == "F", "6")
             .when(F.col("o_orderstatus") == "P", "7")
             .otherwise("2")
@@ -106,8 +115,9 @@ def incidents(
         rows = rows.join(orders, "doc_id", "left")
     if wanted & set(FROM_EVENTS):
         event_id, text = F.col("event_id"), format_gmt(F.col("ts"))
-        events = table(spark, sf_dir, "events").select(
-            event_id.alias("doc_id"),
+        events = _one_each(table(spark, sf_dir, "events"), "event_id", "value", tickets)
+        events = events.select("doc_id", "r.*").select(
+            "doc_id",
             F.col("event_type").alias("impact"),
             F.when(F.col("value") < 10, "1 - High")
             .when(F.col("value") < 50, "2 - Medium")

@@ -7,10 +7,16 @@ import os
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "deskweave", cpus: int | None = None) -> SparkSession:
+def build_session(
+    app: str = "deskweave", cpus: int | None = None, shared: str | None = None
+) -> SparkSession:
+    """A local session; `shared` sets spark.checkpoint.dir. On a cluster pass your own session."""
     cpus = cpus or os.cpu_count() or 1
+    builder = SparkSession.builder
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")

@@ -25,7 +25,11 @@ def read_groups(spark: SparkSession, path: str) -> DataFrame:
 def read_evaluation_set(spark: SparkSession, path: str) -> DataFrame:
     """CSV of question and expected answer below quoted comment lines and a header."""
     rows = spark.read.csv(
-        path, schema="question string, expected_response string", quote='"', escape='"'
+        path,
+        schema="question string, expected_response string",
+        quote='"',
+        escape='"',
+        multiLine=True,  # questions hold line ends
     )
     is_header = (F.col("question") == "question") & (
         F.col("expected_response") == "expectedResponse"

@@ -1,30 +1,18 @@
-"""Shared working space, and the size test that every broadcast goes through."""
+"""Shared working space."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Largest number of rows of keys or question terms sent to every executor.
-BROADCAST_ROWS = 1_000_000
+from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach: `spark.checkpoint.dir` of the session.
-
-    Only a local master may fall back to a temporary folder of this machine.
-    """
+    """Folder all executors can reach: `spark.checkpoint.dir` of the session."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    made = tempfile.mkdtemp(prefix="deskweave-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not configured:
+        raise RuntimeError("start the session with spark.checkpoint.dir, a folder all machines share")
+    return configured.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -41,28 +29,3 @@ def hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jvm_path = hadoop_path(spark, path)
     return fs.exists(jvm_path)
-
-
-def spread_small(df: DataFrame, path: str, key: str) -> DataFrame:
-    """Spread a table over all cores when its files would not fill one split each.
-
-    A large table has a split for every core anyway and is returned as it is, without
-    a shuffle.
-    """
-    spark = df.sparkSession
-    fs, jvm_path = hadoop_path(spark, path)
-    cores = spark.sparkContext.defaultParallelism
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if fs.getContentSummary(jvm_path).getLength() < cores * split:
-        return df.repartition(cores, key)
-    return df
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows; counts no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a side of checked size; otherwise leave the join to Spark."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df

@@ -17,9 +17,10 @@ def spark(tmp_path_factory):
     from deskweave.session import build_session
 
     session = build_session("tests", 8)
-    session.sparkContext.setLogLevel("ERROR")
     if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        session.stop()
+        session = build_session("tests", 8, str(tmp_path_factory.mktemp("shared")))
+    session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 

@@ -2,8 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from deskweave.operators import browse, corpus as store
-from deskweave.operators.corpus import Corpus, latest_per_key, merge_versions, upsert_rows
+from deskweave.operators import browse
+from deskweave.operators.corpus import Corpus, latest_per_key, merge_versions
 from deskweave.operators.schema import (
     UPDATED,
     corpus_schema,
@@ -86,7 +86,6 @@ def test_merge_decides_by_version(spark):
     )
     key = lambda t: t[0]
     assert sorted(content_any(merge_versions(old, new)), key=key) == sorted(expected, key=key)
-    assert sorted(content_any(upsert_rows(old, new)), key=key) == sorted(expected, key=key)
 
 
 def content_any(df):
@@ -99,18 +98,9 @@ def test_only_supplied_columns_are_merged(spark):
     assert sorted(content_any(merge_versions(old, new))) == [("a", None, "keep"), ("b", "x", None)]
 
 
-def test_large_delta_takes_the_outer_join(spark, monkeypatch):
-    monkeypatch.setattr(store, "fits_broadcast", lambda df: False)
-    old, new = rows(spark, ("a", "o", "", D1), ("b", "o", "", D1)), rows(spark, ("a", "n", "", D2))
-    got = upsert_rows(old, new)
-    assert content(got) == [("a", "n", ""), ("b", "o", "")]
-    assert "FullOuter" in got._jdf.queryExecution().toString()
-
-
-@pytest.mark.parametrize("bound", [1000, 2, 0])
-def test_upserts_in_sequence(spark, tmp_path, bound):
-    """The same result whether a run adds a delta or writes a new base."""
-    table = Corpus(spark, str(tmp_path / "c"), SCHEMA, max_delta_rows=bound)
+@pytest.mark.parametrize("buckets", [1, 3, 64])
+def test_upserts_in_sequence(spark, tmp_path, buckets):
+    table = Corpus(spark, str(tmp_path / "c"), SCHEMA, buckets=buckets)
     first = rows(spark, *[(k, "1", k, D1) for k in "abcdef"])
     assert table.upsert(first) == 6
     assert table.upsert(rows(spark, ("a", "2", None, D2), ("z", "2", "z", D2))) == 2
@@ -121,10 +111,21 @@ def test_upserts_in_sequence(spark, tmp_path, bound):
         ("e", "1", "e"), ("f", "1", "f"), ("z", "2", "z"),
     ]
     assert sorted(content_any(table.read())) == expected
-    table.compact()
-    assert sorted(content_any(table.read())) == expected
-    table.expire(keep=1)
-    assert sorted(content_any(table.read())) == expected
+
+
+def test_untouched_buckets_stay(spark, tmp_path):
+    table = Corpus(spark, str(tmp_path / "c"), SCHEMA, buckets=8)
+    table.upsert(rows(spark, *[(k, "1", k, D1) for k in "abcdefghijkl"]))
+    before = set(table.read().inputFiles())
+    table.upsert(rows(spark, ("a", "2", "", D2)))
+    after = set(table.read().inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 1
+    assert table.read().count() == 12
+    for day in range(10, 16):
+        table.upsert(rows(spark, ("a", str(day), "", f"2024-01-{day} 00:00:00")))
+    kept = sorted(int(p.name) for p in (tmp_path / "c" / "pointer").iterdir())
+    assert len(kept) == 3 and not list((tmp_path / "c" / "staged").iterdir())
+    assert table.read().count() == 12
 
 
 def test_upsert_twice_is_upsert_once(spark, tmp_path):
@@ -135,20 +136,22 @@ def test_upsert_twice_is_upsert_once(spark, tmp_path):
     assert content(table.read()) == [("a", "1", ""), ("b", "1", "")]
 
 
-def test_replayed_write_is_skipped(spark, tmp_path):
+def test_replayed_batch_is_skipped(spark, tmp_path):
     table = Corpus(spark, str(tmp_path / "c"), SCHEMA)
-    assert table.upsert(rows(spark, ("a", "1", "", D1)), txn="q:0") == 1
-    assert table.upsert(rows(spark, ("a", "2", "", D2)), txn="q:0") == 0
+    assert table.upsert(rows(spark, ("a", "1", "", D1)), ("q", 0)) == 1
+    assert table.upsert(rows(spark, ("a", "2", "", D2)), ("q", 0)) == 0
     assert content(table.read()) == [("a", "1", "")]
+    assert table.upsert(rows(spark, ("a", "3", "", D2)), ("another", 0)) == 1
+    table.recreate(confirmed=True)
+    assert table.upsert(rows(spark, ("a", "4", "", D1)), ("q", 0)) == 1
+    assert content(table.read()) == [("a", "4", "")]
 
 
 def test_unfinished_write_stays_invisible(spark, tmp_path):
     table = Corpus(spark, str(tmp_path / "c"), SCHEMA)
     table.upsert(rows(spark, ("a", "1", "", D1)))
-    # a writer that died before its commit
-    rows(spark, ("a", "half", "", D3)).withColumn("_seq", F.lit(1)).write.parquet(
-        str(tmp_path / "c" / "deltas" / "s1")
-    )
+    # a writer that died before it moved the pointer
+    rows(spark, ("a", "half", "", D3)).write.parquet(str(tmp_path / "c" / "data" / "2" / "_bucket=0"))
     assert content(table.read()) == [("a", "1", "")]
     table.upsert(rows(spark, ("a", "2", "", D2)))
     assert content(table.read()) == [("a", "2", "")]

@@ -90,12 +90,17 @@ def test_values_behind_the_call_limit_are_found(spark):
 
 
 def test_windows_cover_the_text():
-    body = "".join(chr(97 + i % 26) for i in range(1234))
-    for size in (10, 100, 500, 1234, 2000):
+    import random
+
+    rng = random.Random(1)
+    for size in (6, 10, 30):
+        body = "".join(rng.choice("abc  \n") for _ in range(300)) + "z" * 50
         windows = masking.text_windows(body, size, 5)
-        assert all(len(w) <= size for w in windows)
-        for i in range(len(body) - 5):
-            assert any(body[i : i + 5] in w for w in windows)
+        for word in body.split():
+            assert any(word in w.split() for w in windows)  # no word is cut, however long
+        starts = [i for i in range(len(body) - 5) if i == 0 or body[i - 1].isspace()]
+        assert all(any(body[i : i + 5] in w for w in windows) for i in starts)
+    assert masking.text_windows("", 5) == [""] and masking.text_windows("ab", 5) == ["ab"]
 
 
 def test_language_is_passed_on(spark):

@@ -9,27 +9,21 @@ from deskweave.functions.redaction import DEFAULT_RULES, MASK, Rule, redact, red
 from deskweave.operators.masking import mask_by_values
 
 CASES = [
-    ("login con password=Segreta123 ok", "login con password=[REDACTED] ok"),
-    ("pwd: hunter2", "pwd=[REDACTED]"),
+    ("nuova chiave: password=Tulipano9 da ieri", "nuova chiave: password=[REDACTED] da ieri"),
+    ("Pwd : k3y-9", "Pwd=[REDACTED]"),
     ("PASS = 'a b' x", "PASS=[REDACTED] x"),
-    ("CREATE USER hr IDENTIFIED BY MyDbPwd;", "CREATE USER hr IDENTIFIED BY [REDACTED];"),
-    (
-        "ALTER USER scott identified by VALUES 'S:abc123def';",
-        "ALTER USER scott identified by [REDACTED];",
-    ),
-    (
-        "connessione system/Passw0rd@db-host:1521/SALESPDB",
-        "connessione system/[REDACTED]@db-host:1521/SALESPDB",
-    ),
+    ("create role app identified by Rovo55;", "create role app identified by [REDACTED];"),
+    ("IDENTIFIED  BY values 'T:00ff' account unlock", "IDENTIFIED  BY [REDACTED] account unlock"),
+    ("aperto con posta/Rovo55@mx2.lan:993/inbox ok", "aperto con posta/[REDACTED]@mx2.lan:993/inbox ok"),
     ("", ""),
     (None, ""),
-    ("Il ticket riguarda un problema di performance sul DB.",) * 2,
+    ("Niente da nascondere in questa frase.",) * 2,
     ("bypass: x",) * 2,
     ("àpassword=x",) * 2,
-    ("password = x", "password=[REDACTED]"),
+    ("password\u00a0= x", "password=[REDACTED]"),
     ("paſsword=x", "paſsword=[REDACTED]"),
     ("İDENTIFIED BY x", "İDENTIFIED BY [REDACTED]"),
-    ("docs/mario.rossi@example.com", "docs/[REDACTED]@example.com"),
+    ("elenco/lia.verdi@posta.example", "elenco/[REDACTED]@posta.example"),
 ]
 
 

@@ -68,18 +68,6 @@ def test_bm25_like_brute_force(docs, questions, k):
     assert np.allclose([g[3] for g in got], [e[3] for e in brute_force(k)], atol=1e-6)
 
 
-def test_many_question_terms_need_no_broadcast(docs, questions):
-    df = search.rank_text(docs, questions, 2, FIELDS, max_terms=1)
-    assert [g[:3] for g in ranked(df)] == [e[:3] for e in brute_force(2)]
-
-
-def test_stored_index_ranks_the_same(spark, docs, questions, tmp_path):
-    path = str(tmp_path / "index")
-    search.write_index(docs, path, FIELDS, buckets=4, files_per_bucket=2)
-    got = ranked(search.rank_index(spark, path, questions, 2))
-    assert got == ranked(search.rank_text(docs, questions, 2, FIELDS))
-
-
 def test_search_projection(docs):
     named = docs.withColumns(
         {"number": F.upper("id"), "assignment_group_name": F.lit("HD")}
@@ -91,16 +79,6 @@ def test_search_projection(docs):
     assert search.search(named, "???", 3, FIELDS).collect() == []
 
 
-def test_pairs_are_cut_before_the_shuffle(docs, questions):
-    df = search.rank_text(docs, questions, 2, FIELDS)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    final = plan[: plan.index("== Initial Plan ==")]
-    assert "row_number(), 2, Partial" in final
-    # the texts are split and shuffled once, for postings, frequencies and lengths
-    assert final.count("ReusedExchange") >= 2
-
-
 # --- vectors ----------------------------------------------------------------
 
 
@@ -138,13 +116,6 @@ def test_cosine_column(spark):
     assert row["a"] == pytest.approx(2**-0.5) and row["b"] is None
 
 
-def test_nearest_approx_finds_most(vectors):
-    query = np.random.default_rng(1).normal(size=16)
-    usable = vectors.where("size(contentVector) = 16 and id <> 'zero'")
-    got = {r["id"] for r in search.nearest_approx(usable, query.tolist(), 10).collect()}
-    assert len(got & set(by_numpy(usable, query, 10))) >= 8
-
-
 def test_hash_vectors(spark):
     rows = spark.createDataFrame([("a", "Rete, rete!"), ("b", "rete"), ("c", ""), ("d", None)], "id string, content string")
     got = {r["id"]: r["contentVector"] for r in embedding.hash_embed(rows, dimensions=32).collect()}
@@ -172,14 +143,24 @@ def test_embed_documents(spark):
         return embed
 
     rows = spark.createDataFrame([("ciao",), ("mondo",), ("",), (None,), ("A" * 5000,)], "content string")
-    got = embedding.embed_documents(rows.coalesce(1), make, call_texts=2, max_chars=10)
-    assert [r["contentVector"] and r["contentVector"][0] for r in got.collect()] == [4, 5, None, None, 10]
+    got = embedding.embed_documents(rows.coalesce(1), make, call_texts=2, max_chars=5000)
+    assert [r["contentVector"] and r["contentVector"][0] for r in got.collect()] == [4, 5, None, None, 5000]
     check = embedding.check_vectors(got, 4).first()
     assert (check["documents"], check["vectors"], check["wrong_length"]) == (5, 3, 0)
     assert embedding.check_vectors(got, 5).first()["wrong_length"] == 3
 
 
-def test_tokenizer_cuts_the_model_input(spark):
+def test_long_texts_are_embedded_whole(spark):
+    def make():
+        return lambda texts: [[float(t.count("a")), float(t.count("b"))] for t in texts]
+
+    rows = spark.createDataFrame([("a" * 10 + "b" * 5,), ("a" * 10,)], "content string")
+    got = [r["contentVector"] for r in embedding.embed_documents(rows.coalesce(1), make, max_chars=10).collect()]
+    mean = np.array([100.0, 25.0]) / 15
+    assert np.allclose(got[0], mean / np.linalg.norm(mean)) and got[1] == [10.0, 0.0]
+
+
+def test_tokenizer_windows(spark):
     class Blanks:
         def encode(self, text):
             return text.split()
@@ -196,9 +177,9 @@ def test_tokenizer_cuts_the_model_input(spark):
     import sys
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    rows = spark.createDataFrame([("parola " * 5000,)], "content string")
-    got = embedding.embed_documents(rows, make, make_tokenizer=lambda: blanks(), max_tokens=50)
-    assert got.first()["contentVector"] == [50.0]
+    rows = spark.createDataFrame([("parola " * 50,), ("parola " * 120,)], "content string")
+    got = embedding.embed_documents(rows.coalesce(1), make, make_tokenizer=lambda: blanks(), max_tokens=50)
+    assert [r["contentVector"] for r in got.collect()] == [[50.0], [1.0]]
 
 
 def test_model_errors_are_tried_again_then_raised(spark):

@@ -7,25 +7,25 @@ from deskweave.operators import scope
 from deskweave.operators.scope import Scope, in_scope
 from deskweave.sources import lists, pages
 from deskweave.sources.marks import MarkStore, later_mark
-from deskweave.sources.space import fits_broadcast, spread_small
+from deskweave.sources.space import shared_dir
 
 RECORD = {
-    "number": ("INC0012345", "INC0012345"),
-    "short_description": ("Login fallito", "Login fallito"),
-    "description": ("Utente non accede", "Utente non accede"),
-    "close_notes": ("Reset con password=Segreta1", "Reset con password=Segreta1"),
+    "number": ("REQ40", "REQ40"),
+    "short_description": ("Posta ferma", "Posta ferma"),
+    "description": ("La casella non riceve", "La casella non riceve"),
+    "close_notes": ("Nuova chiave, pwd = Tulipano9", "Nuova chiave, pwd = Tulipano9"),
     "work_notes": (
         "raw",
-        "Connesso con scott/Tiger123@db:1521/SALES e riavviato job",
+        "Sessione posta/Rovo55@mx2:993 sul relay",
     ),
-    "comments": ("raw", "Gentile utente, risolto."),
-    "sys_id": ("abc123sysid", "abc123sysid"),
-    "assignment_group": ("grp-sysid-1", "HD Base L2"),
-    "priority": ("4", "4 - Low"),
-    "impact": ("3", "3 - Low"),
-    "urgency": ("2", "2 - Medium"),
-    "closed_at": ("2024-03-01 09:00:00", "01/03/2024 10:00:00"),
-    "sys_updated_on": ("2024-03-01 09:05:00", "..."),
+    "comments": ("raw", "Di nuovo tutto a posto"),
+    "sys_id": ("k77", "k77"),
+    "assignment_group": ("g-mail", "HD Mail"),
+    "priority": ("3", "3 - Moderate"),
+    "impact": ("2", "2 - Some"),
+    "urgency": ("1", "1 - Now"),
+    "closed_at": ("2023-11-20 17:30:00", "20.11.2023, 18:30"),
+    "sys_updated_on": ("2023-11-20 18:00:00", "local"),
     "state": ("7", "Closed"),
 }
 
@@ -74,9 +74,9 @@ def test_first_rows_follow_update_order(spark, three_pages):
 def test_flat_record(spark, tmp_path):
     path = land(tmp_path, {"result": [record()]})
     row = pages.flatten_cells(pages.read_pages(spark, path)).first()
-    assert row["number"] == "INC0012345"
-    assert (row["assignment_group"], row["assignment_group_name"]) == ("grp-sysid-1", "HD Base L2")
-    assert (row["priority"], row["closed_at"]) == ("4 - Low", "2024-03-01 09:00:00")
+    assert row["number"] == "REQ40"
+    assert (row["assignment_group"], row["assignment_group_name"]) == ("g-mail", "HD Mail")
+    assert (row["priority"], row["closed_at"]) == ("3 - Moderate", "2023-11-20 17:30:00")
     assert (row["resolved_at"], row["cmdb_ci"]) == ("", "")
 
 
@@ -97,6 +97,9 @@ def test_delta_predicate_reaches_the_scan(spark, three_pages, tmp_path):
     plan = chosen._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(updated_at,2024-01-01T23:45)" in plan
     assert "In(state, [6,7])" in plan
+    # days before the mark are not listed
+    assert "PartitionFilters: [isnotnull(updated_day" in plan
+    assert numbers(chosen) == ["INC2", "INC3"]
 
 
 def test_other_table(spark, three_pages, tmp_path):
@@ -174,12 +177,12 @@ def test_evaluation_set(spark, tmp_path):
     path = tmp_path / "set.csv"
     path.write_text(
         '"# title, with comma"\n"#"\n"question","expectedResponse"\n'
-        '"Perche\' \'X\'?","Risposta, con virgola"\n"Secondo ""caso""","ok"\n'
+        '"Perche\' \'X\'?","Risposta, con virgola"\n"Secondo\n""caso""","ok"\n'
     )
     got = lists.read_evaluation_set(spark, str(path)).collect()
     assert [tuple(r) for r in got] == [
         ("Perche' 'X'?", "Risposta, con virgola"),
-        ('Secondo "caso"', "ok"),
+        ('Secondo\n"caso"', "ok"),
     ]
 
 
@@ -214,20 +217,26 @@ def test_later_mark(a, b, expected):
     assert got == (expected and day + expected + ":00")
 
 
-def test_broadcast_is_size_checked(spark):
-    assert fits_broadcast(spark.range(5), 5)
-    assert not fits_broadcast(spark.range(6), 5)
+def test_plans_start_no_job(spark, tickets):
+    """Building joins and searches reads no data."""
+    from deskweave.operators import search
 
+    group = "plan-only"
+    spark.sparkContext.setJobGroup(group, "")
+    groups = tickets.select(F.col("assignment_group").alias("sys_id"), F.lit("n").alias("name"))
+    scope.with_group_labels(scope.in_groups(tickets, groups), groups)
+    docs = tickets.select(F.col("number").alias("id"), F.col("t").alias("content"))
+    questions = tickets.select(F.lit(1).alias("qid"), F.col("t").alias("question"))
+    search.rank_text(docs, questions, 2, ("content",))
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == 0
 
-def test_only_small_tables_are_spread(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).coalesce(1).write.parquet(path)
-    small = spread_small(spark.read.parquet(path), path, "id")
-    assert small.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "10")
-        same = spread_small(spark.read.parquet(path), path, "id")
-        assert "Exchange" not in same._jdf.queryExecution().toString()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+def test_shared_folder_must_be_set(spark):
+    assert shared_dir(spark)
+
+    class Unset:
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Unset)
