@@ -27,24 +27,26 @@ GROUP = ("source", "lang", "tokenizer")
 LEDGER = "doc_id long, tokenizer string, source string, lang string, tokens long, batch long"
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
-# (texts of a table with a `text` column) -> the table with `tokens`, without the text
-Counter = Callable[[DataFrame], DataFrame]
+# (a table with a `text` column, name of the new column, whether to keep the text)
+Counter = Callable[[DataFrame, str, bool], DataFrame]
 
 
-def count_words(rows: DataFrame) -> DataFrame:
+def count_words(rows: DataFrame, column: str, keep_text: bool) -> DataFrame:
     """Words between white space."""
-    return rows.withColumn("tokens", word_count(F.col("text"))).drop("text")
+    counted = rows.withColumn(column, word_count(F.col("text")))
+    return counted if keep_text else counted.drop("text")
 
 
 def count_bpe(path: str = BPE_PATH, name: str = BPE_NAME) -> Counter:
     """Tokens of a byte-level BPE vocabulary (a rank file that Spark can read)."""
 
-    def counter(rows: DataFrame) -> DataFrame:
+    def counter(rows: DataFrame, column: str, keep_text: bool) -> DataFrame:
         from public_tokenizers import PATTERN
 
         spark = rows.sparkSession
         ranks = bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
         others = [c for c in rows.columns if c != "text"]
+        kept = [*others, "text"] if keep_text else others
 
         def encoding():
             import base64
@@ -65,11 +67,11 @@ def count_bpe(path: str = BPE_PATH, name: str = BPE_NAME) -> Counter:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encode = encoding().encode_ordinary
             for batch in batches:
-                *rest, texts = batch.columns
-                sizes = [len(encode(t)) if t else 0 for t in texts.to_pylist()]
-                yield pa.record_batch([*rest, pa.array(sizes, pa.int64())], [*others, "tokens"])
+                texts = batch.columns[-1].to_pylist()
+                sizes = pa.array([len(encode(t)) if t else 0 for t in texts], pa.int64())
+                yield pa.record_batch([*batch.columns[: len(kept)], sizes], [*kept, column])
 
-        schema = rows.select(*others, F.lit(0).cast("long").alias("tokens")).schema
+        schema = rows.select(*kept, F.lit(0).cast("long").alias(column)).schema
         return rows.select(*others, "text").mapInArrow(run, schema)
 
     return counter
@@ -121,26 +123,29 @@ class Rollup:
 
         A document not deleted is new or revised. Batches are applied in the order of their
         numbers. Of several rows of one document in a batch a deletion goes first, then the
-        greatest text counts. Null ids are one document; a null text has no tokens; null
+        text with the greatest MD5 counts. Texts are counted where they are read; only numbers
+        are shuffled. Null ids are one document; a null text has no tokens; null
         sources and languages are groups of their own. Other columns are ignored. An empty
         batch commits and changes nothing.
         """
         if self.committed(batch):
             return False
-        order = (F.coalesce("deleted", F.lit(False)).desc(), F.col("text").desc_nulls_last())
-        one = Window.partitionBy("doc_id").orderBy(*order, "source", "lang")
         rows = changes.select(
             F.col("doc_id").cast("long"), "source", "lang", "text",
             F.coalesce("deleted", F.lit(False)).alias("deleted"),
+            F.md5("text").alias("key"),
         )
-        rows = rows.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-        counted = None
-        for name, counter in self.tokenizers.items():
-            own = counter(rows).withColumn("tokenizer", F.lit(name))
-            counted = own if counted is None else counted.unionByName(own)
-        counted = counted.select(
+        names = list(self.tokenizers)
+        for i, name in enumerate(names):
+            rows = self.tokenizers[name](rows, f"n{i}", i < len(names) - 1)
+        order = (F.desc("deleted"), F.desc_nulls_last("key"), "source", "lang")
+        last = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
+        each = F.array(
+            *[F.struct(F.lit(n).alias("tokenizer"), F.col(f"n{i}").alias("n")) for i, n in enumerate(names)]
+        )
+        counted = rows.withColumn("_n", last).where("_n = 1").select("*", F.inline(each)).select(
             "doc_id", "tokenizer", "source", "lang",
-            F.when(~F.col("deleted"), F.col("tokens")).alias("tokens"),
+            F.when(~F.col("deleted"), F.col("n")).alias("tokens"),
             F.lit(batch).cast("long").alias("batch"),
         )
         before = self.ledger().where("tokens is not null")

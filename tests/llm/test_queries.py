@@ -42,10 +42,9 @@ def test_entry_registers_all():
 
 def test_op3_is_a_recount_of_the_final_documents(spark):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
     want = {}
     for i, d in docs.items():
-        if i in labels and labels[i]["quality"] == 0:
+        if len((d["text"] or "").encode().split()) < 5:
             continue
         key = (d["source"], d["lang"])
         n, t = want.get(key, (0, 0))
