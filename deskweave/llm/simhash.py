@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .components import components
+from .near_text import near_groups
 
 SHINGLE = 4
 SEED = 42
 RADIUS = 4  # linked at so many differing bits or fewer
 PREFIX_BITS = 12
 PART = 4_000_000  # variants written out at once
+DEDUP_SHINGLE, DEDUP_SIMILARITY = 5, 0.8  # words and Jaccard similarity of `deduplicate`
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -224,18 +226,23 @@ def hex_fingerprint(column: str = "fp"):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicate(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = DEDUP_SHINGLE,
+    similarity: float = DEDUP_SIMILARITY,
+) -> DataFrame:
     """One document of each group of near-duplicates, in the columns of `docs`.
 
+    Documents are linked if the sets of their word shingles have at least this Jaccard
+    similarity (see `near_text`; the fingerprints of operator 1 cannot tell that reliably).
     The document with the smallest id stays (null last, then by text hash); of repeated rows
     one stays.
     """
-    found = near_duplicates(docs, doc_id, text)
+    found = near_groups(docs, doc_id, text, shingle, similarity)
     by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    # documents of one fingerprint are of one component, so the few groups without any id
-    # are told apart by fingerprint
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp "), F.col("fp")))
-    kept = found.groupBy(group.alias("g")).agg(F.min(by_id).alias("k")).select("k.*")
+    kept = found.groupBy("group").agg(F.min(by_id).alias("k")).select("k.*")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
         F.col(f"`{doc_id}`").alias("_id"),
