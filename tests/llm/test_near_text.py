@@ -76,3 +76,12 @@ def test_links_that_the_smallest_member_does_not_have(spark, make_docs):
     root = plain_groups(texts)
     kept = simhash.deduplicate(make_docs(list(enumerate(texts))))
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root))
+
+
+def test_one_id_on_two_unrelated_texts(spark, make_docs):
+    """Both hold id 1 as their group's smallest, yet each group keeps a text."""
+    rng = np.random.default_rng(4)
+    first, second = (" ".join(f"w{rng.integers(10**6)}" for _ in range(80)) for _ in range(2))
+    rows = [(1, first), (1, second), (2, first + " more"), (3, second + " more")]
+    kept = simhash.deduplicate(make_docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(rows[:2])
