@@ -52,7 +52,8 @@ def test_a_band_finds_what_reaches_the_similarity():
     for _ in range(400):
         hashes = rng.integers(0, 2**64, 110, np.uint64)
         a, b = hashes[:100], np.concatenate([hashes[10:100], hashes[100:]])
-        equal.append((near_text.band_values(a) == near_text.band_values(b)).mean())
+        first, second = near_text.minima(a), near_text.minima(b)
+        equal.append((near_text.band_values(first) == near_text.band_values(second)).mean())
     # similarity 90 / 110
     assert min(equal) > 0 and abs(np.mean(equal) - (9 / 11) ** near_text.ROWS) < 0.02
 
@@ -85,3 +86,42 @@ def test_one_id_on_two_unrelated_texts(spark, make_docs):
     rows = [(1, first), (1, second), (2, first + " more"), (3, second + " more")]
     kept = simhash.deduplicate(make_docs(rows)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(rows[:2])
+
+
+def test_a_signature_shows_the_similarity():
+    rng = np.random.default_rng(2)
+    found = []
+    for _ in range(300):
+        hashes = rng.integers(0, 2**64, 110, np.uint64)
+        marks = [np.frombuffer(near_text.signature(near_text.minima(x)), np.uint64) for x in (hashes[:100], hashes[10:])]
+        found.append(near_text.likeness(marks[0][None], marks[1][None])[0])
+    assert abs(np.mean(found) - 9 / 11) < 0.01 and np.std(found) < 0.045
+
+
+def test_a_large_group_on_both_sides_of_the_similarity(spark, make_docs):
+    """Copies of one text with 1 to 5 changed words: few pairs reach 0.8, many come close."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = [" ".join(base)] + [edited(rng, base, int(rng.integers(1, 6))) for _ in range(600)]
+    root = plain_groups(texts)
+    kept = {r["doc_id"] for r in simhash.deduplicate(make_docs(list(enumerate(texts)))).collect()}
+    redundant = len(texts) - len(set(root))
+    assert redundant > 200 and kept >= set(root)
+    assert len(texts) - len(kept) >= 0.98 * redundant
+
+
+def test_two_tight_groups_with_a_loose_link(spark, make_docs):
+    """The best offers stay inside each group; the link between them is found afterwards."""
+    rng = np.random.default_rng(6)
+    first = [f"w{rng.integers(10**6)}" for _ in range(400)]
+    second = edited(rng, first, 7).split()
+    texts = [" ".join([*words, f"end{i}"]) for words in (first, second) for i in range(40)]
+    assert len(set(plain_groups(texts))) == 1
+    assert simhash.deduplicate(make_docs(list(enumerate(texts)))).count() == 1
+
+
+def test_empty_null_and_wordless(spark, make_docs):
+    assert simhash.deduplicate(make_docs([])).count() == 0
+    rows = [(None, None), (None, ""), (3, " \t"), (None, "a b"), (5, "A  b"), (5, "A  b")]
+    kept = simhash.deduplicate(make_docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, " \t"), (5, "A  b")]
