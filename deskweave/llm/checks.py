@@ -118,6 +118,38 @@ SELECT doc_id, size, source_size, target,
 FROM ranked
 """
 
+OP13 = r"""
+WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+    known AS (
+        SELECT lang, w[s : s + m - 1] AS p, count(*) AS f
+        FROM words, (VALUES (1), (2), (3), (4)) AS sizes(m), unnest(range(1, len(w) - m + 2)) AS t(s)
+        GROUP BY lang, p HAVING count(*) >= 30),
+    covered AS (
+        SELECT lang, p[s : s + m - 1] AS p, max(f) AS longer
+        FROM known, (VALUES (2), (3)) AS sizes(m), unnest(range(1, len(p) - m + 2)) AS t(s)
+        WHERE len(p) > m GROUP BY ALL),
+    kept AS (
+        SELECT lang, p, f FROM known LEFT JOIN covered USING (lang, p)
+        WHERE len(p) > 1 AND NOT coalesce(100::HUGEINT * longer >= 80::HUGEINT * f, false)),
+    cuts AS (
+        SELECT k.lang, k.p, k.f, c, a.f AS l, b.f AS r, (2000000::HUGEINT * k.f) // (a.f + b.f) AS score
+        FROM kept k, unnest(range(1, len(k.p))) AS t(c), known a, known b
+        WHERE a.lang = k.lang AND b.lang = k.lang AND a.p = k.p[1 : c] AND b.p = k.p[c + 1 :]),
+    worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
+    ranked AS (
+        SELECT *, array_to_string(p, ' ') AS phrase,
+            row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, array_to_string(p, ' ')) AS rank
+        FROM worst)
+SELECT lang, rank, phrase, f AS a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def all_checks() -> dict[str, str]:
-    return {"op4_warc": OP4, "op5_decontaminate": OP5, "op6_url_filter": OP6, "op10_source_mix": OP10}
+    return {"op4_warc": OP4, "op5_decontaminate": OP5, "op6_url_filter": OP6, "op10_source_mix": OP10, "op13_collocations": OP13}

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bpe_stream,
+    collocations,
     decontaminate,
     digest,
     mixing_lm,
@@ -18,6 +20,7 @@ from . import (
     token_counts,
     url_filter,
     warc,
+    whitening,
 )
 from .common import fresh_dir, table, word_count
 
@@ -117,3 +120,28 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(2, changes)
     rollup.commit(2, changes)  # delivered again, changes nothing
     return rollup.totals()
+
+
+def word_bpe() -> str:
+    """The public word-end vocabulary of operator 11."""
+    import public_tokenizers
+
+    return bpe_stream.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op11_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = word_bpe()
+    encoded = bpe_stream.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), definition)
+    decoded = bpe_stream.decode(encoded.drop("text"), definition, form="tokens")
+    return decoded.select("doc_id", *bpe_stream.digests())
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

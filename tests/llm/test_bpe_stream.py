@@ -1,0 +1,128 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from llm_data import SMALL, make_docs, some_docs  # noqa: F401
+
+from deskweave.llm import bpe_stream, queries
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+VOCABULARY = bpe_stream.Vocabulary(bpe_stream.read_vocabulary(PATH))
+PARTS = [
+    "a", "b", "the ", "ing", "'", "'ll", "'re", "S", "É", "é", "Σ", "İ", "ß", " ", "\n", "1", "23", "!!", "…", "你好",
+    "🙂", "👩‍👩‍👧", "́", "<|endoftext|>", "<|startoftext|", "Ǆ", "ﬁ", "　", "\x1c", "\x85", "ا", "कि", "한글", "_", "<",
+]
+
+
+def library(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def ids(encoder, text):
+    return [i for part in encoder.encode(text) for i in part]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=60).map("".join), st.sampled_from([16, 40, bpe_stream.BLOCK]))
+def test_encodes_and_decodes_as_the_library(text, block):
+    got = ids(bpe_stream.Encoder(VOCABULARY, block), text)
+    assert got == library(text)
+    assert bpe_stream.Decoder(VOCABULARY).tokens(got) == LIBRARY.decode(got, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzéñ", ["an", "th", "in", "ing", "er", "a"], "a", "!'", "é"])
+def test_long_words_in_constant_memory(letters):
+    rng = random.Random(1)
+    word = "".join(rng.choice(letters) for _ in range(20_000))
+    machine, got, most = bpe_stream.Transducer(VOCABULARY, window=16), [], 0
+    for at in range(0, len(word), 100):
+        got += machine.push(word[at : at + 100])
+        most = max(most, len(machine.held))
+    got += machine.finish()
+    if "'" not in word and "é" not in word:
+        assert got == library(word)
+    assert most <= VOCABULARY.lookahead + 100
+    text = f"{word} it's {word}'ll!"
+    assert ids(bpe_stream.Encoder(VOCABULARY, 300), text) == library(text)
+
+
+def test_lookahead_of_small_lists():
+    assert bpe_stream.sufficient_lookahead([("a", "b")], len) == 1
+    # "bc" goes first, so whether "ab" is formed depends on one symbol more
+    assert bpe_stream.sufficient_lookahead([("b", "c"), ("a", "b")], len) == 2
+    assert bpe_stream.sufficient_lookahead([("c", "d"), ("b", "c"), ("a", "b")], len) == 3
+    with pytest.raises(ValueError):
+        bpe_stream.sufficient_lookahead([("ab", "c"), ("a", "b")], len)
+
+
+def test_lookahead_suffices():
+    """Small alphabets: a boundary with so many symbols behind it survives every continuation."""
+    rng = random.Random(2)
+    for _ in range(150):
+        tokens, merges = list("abc"), []
+        for _ in range(rng.randrange(1, 9)):
+            pair = (rng.choice(tokens), rng.choice(tokens))
+            if "".join(pair) not in tokens:
+                merges.append(pair)
+                tokens.append("".join(pair))
+        ranks = {p: i for i, p in enumerate(merges)}
+        far = bpe_stream.sufficient_lookahead(merges, len)
+
+        def cuts(text):
+            at, found = 0, set()
+            for token in bpe_stream.merged(list(text), ranks):
+                at += len(token)
+                found.add(at)
+            return found
+
+        text = "".join(rng.choice("abc") for _ in range(30))
+        stable = 30 - far
+        for _ in range(10):
+            more = text + "".join(rng.choice("abc") for _ in range(rng.randrange(1, 12)))
+            assert {c for c in cuts(text) if c <= stable} == {c for c in cuts(more) if c <= stable}
+
+
+def test_queue_and_scan_agree():
+    rng = random.Random(4)
+    for _ in range(200):
+        word = [VOCABULARY.symbols[b] for b in "".join(rng.choice("thinger") for _ in range(24)).encode()]
+        twice = bpe_stream.merged(word, VOCABULARY.ranks)
+        old, bpe_stream.SHORT = bpe_stream.SHORT, 0
+        assert bpe_stream.merged(word, VOCABULARY.ranks) == twice
+        bpe_stream.SHORT = old
+
+
+def test_text_comes_back():
+    decoder = bpe_stream.Decoder(VOCABULARY)
+    assert decoder.text(library("Straße 🙂 naïve")) == "straße 🙂 naïve"
+    assert decoder.text([]) == "" and decoder.tokens([10**9]) == ""
+
+
+def test_query_against_the_library(spark):
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in queries.op11_bpe_stream(spark, SMALL).collect()}
+    assert got.keys() == docs.keys()
+    for i, text in docs.items():
+        want = library(text)
+        assert got[i]["n_tokens"] == len(want)
+        assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
+        decoded = LIBRARY.decode(want, skip_special_tokens=False)
+        assert got[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_odd_rows(spark):
+    schema = "doc_id long, text string, ids int, decoded int"
+    definition = bpe_stream.read_vocabulary(PATH)
+    rows = [(None, None, 1, 1), (1, "", 1, 1), (2, "a b", 1, 1), (2, "a b", 1, 1)]
+    out = bpe_stream.decode(bpe_stream.encode(spark.createDataFrame(rows, schema), definition), definition)
+    assert sorted((r["doc_id"] or 0, r["text"], len(r["ids"]), r["decoded"]) for r in out.collect()) == [
+        (0, None, 0, ""), (1, "", 0, ""), (2, "a b", 2, "a b"), (2, "a b", 2, "a b")
+    ]
+    none = bpe_stream.encode(spark.createDataFrame([], schema), definition)
+    assert none.count() == 0 and set(none.columns) == {"doc_id", "text", "decoded", "ids"}

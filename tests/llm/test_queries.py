@@ -31,7 +31,7 @@ def test_same_rows_as_sql(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.all_queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_entry_registers_all():

@@ -1,0 +1,111 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from llm_data import SMALL
+
+from deskweave.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, w int, x int"
+
+
+@pytest.fixture
+def vectors(spark):
+    def make(rows):
+        return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], 1, 2) for i, v in rows], SCHEMA)
+
+    return make
+
+
+def check(got, vectors, components):
+    """Rows against exact sums and numpy's eigenvectors; directions up to their sign."""
+    x = np.array([[math.floor(1024 * float(np.float32(c))) + 100_000 for c in v] for v in vectors.values()], object)
+    n, sums = len(x), x.sum(axis=0)
+    y = np.array(x - np.array([Fraction(int(s), n) for s in sums]), float)
+    v = y.T @ y / n
+    values, directions = np.linalg.eigh(v)
+    values, directions = values[::-1], directions[:, ::-1]
+    want = y @ directions / np.sqrt(np.maximum(values, 1e-300))
+    deviation = dict(zip(vectors, ((n * x - sums) ** 2).sum(axis=1)))
+    found = {(r["vec_id"], r["component"]): r for r in got}
+    assert len(found) == len(got) == n * components
+    for k in range(components):
+        column = np.array([found[i, k + 1]["whitened"] for i in vectors])
+        sign = np.sign(column @ want[:, k])
+        assert np.abs(column * sign - want[:, k]).max() < 1e-8 * max(1, np.abs(want).max())
+    for (i, k), r in found.items():
+        assert r["n"] == n and r["deviation"] == deviation[i]
+        assert r["explained"] == pytest.approx(values[k - 1] / np.trace(v), rel=1e-10)
+        assert r["identity_error"] < 1e-9
+
+
+def test_query(spark):
+    table = {r["vec_id"]: r["embedding"] for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()}
+    check(queries.op12_whitening(spark, SMALL).collect(), table, 8)
+
+
+def test_small_blocks_and_a_tree(vectors, monkeypatch):
+    monkeypatch.setattr(whitening, "BLOCK", 7)
+    monkeypatch.setattr(whitening, "FAN_IN", 2)
+    rng = np.random.default_rng(1)
+    rows = {i: rng.normal(size=5) * [1, 2, 3, 4, 9] for i in range(60)}
+    table = vectors(rows.items()).repartition(9)
+    check(whitening.whiten(table, components=3).collect(), rows, 3)
+
+
+def test_what_is_left_out(vectors):
+    rows = [(1, [1, 2]), (2, [3, 1]), (3, [0, 5]), (None, [0, 1]), (1, [1, 2])]
+    odd = [(4, None), (5, [1, None]), (6, [1, float("nan")]), (7, [float("inf"), 1]), (8, []), (9, [1, 2, 3])]
+    got = whitening.whiten(vectors(rows + odd)).collect()
+    assert sorted((r["vec_id"] or 0) for r in got) == [0, 0, 1, 1, 1, 1, 2, 2, 3, 3] and {r["n"] for r in got} == {5}
+    assert max(r["identity_error"] for r in got) < 1e-12
+
+
+def test_few_directions(vectors):
+    assert whitening.whiten(vectors([])).count() == 0
+    assert whitening.whiten(vectors([(1, [2, 3]), (2, [2, 3])])).count() == 0
+    line = whitening.whiten(vectors([(i, [i, 2 * i, 0]) for i in range(9)])).collect()
+    assert len(line) == 9 and {r["component"] for r in line} == {1}
+
+
+def test_an_entry_too_large_is_refused(vectors):
+    with pytest.raises(Exception, match="larger than"):
+        whitening.whiten(vectors([(1, [1, 1e30]), (2, [1, 2])])).collect()
+
+
+def triangles():
+    rng = np.random.default_rng(0)
+    turn = [np.linalg.qr(rng.normal(size=(40, 40)))[0] for _ in range(2)]
+    yield rng.normal(size=(300, 40))
+    yield rng.normal(size=(300, 40)) * np.geomspace(1, 1e-8, 40)
+    yield turn[0] @ np.diag([5, 5, 5, 5 + 1e-13, 5 - 1e-9, 5 - 1e-7, 4, *[1] * 33]) @ turn[1]
+    yield turn[0] * 3
+    yield np.eye(40)
+    yield np.diag(np.arange(1, 41.0)) + np.diag(np.full(39, 1e-9), 1)
+    yield rng.normal(size=(60, 3)) @ rng.normal(size=(3, 40))
+    yield rng.normal(size=(9, 1))
+
+
+@pytest.mark.parametrize("rows", list(triangles()))
+def test_solver_against_svd(rows):
+    r = np.linalg.qr(rows, mode="r")
+    want = np.linalg.svd(r, compute_uv=False)
+    a, b, _ = whitening.bidiagonalise(r)
+    assert np.abs(np.sqrt(whitening.dqds(a * a, b * b)) - want).max() < 1e-13 * want[0]
+    values, directions = whitening.right_directions(r, 8)
+    k = len(values)
+    assert k == min(8, (want > 1e-13 * want[0]).sum())
+    assert np.abs(values - want[:k] ** 2).max() < 1e-13 * want[0] ** 2
+    assert np.abs(directions.T @ directions - np.eye(k)).max() < 1e-12
+    assert np.linalg.norm(r.T @ (r @ directions) - directions * values) < 1e-12 * want[0] ** 2
+
+
+def test_small_values_are_accurate():
+    """Relative accuracy of a graded bidiagonal, which an eigenvalue routine on B'B loses."""
+    a, b = np.geomspace(1, 1e-12, 12), np.geomspace(0.5, 1e-12, 11)
+    exact = np.linalg.svd(np.diag(a) + np.diag(b, 1), compute_uv=False)
+    got = np.sqrt(whitening.dqds(a * a, b * b))
+    assert np.prod(got) == pytest.approx(np.prod(a), rel=1e-12)
+    assert np.abs(got / exact - 1).max() < 1e-2
