@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
-from ..functions.vectors import norm
 from .once import with_columns_once
 from .schema import DEFAULT_DIMENSIONS, VECTOR_FIELD
 
@@ -100,28 +99,49 @@ def embed_documents(
 
 
 def hash_embed(
-    documents: DataFrame, column: str = "content", dimensions: int = DEFAULT_DIMENSIONS
+    documents: DataFrame,
+    column: str = "content",
+    dimensions: int = DEFAULT_DIMENSIONS,
+    element: str = "float",
 ) -> DataFrame:
     """Offline model: hashed word counts of the whole text, scaled to length one.
 
     Deterministic and JVM-side; words are hashed by MD5, so that any engine gives the same
     vector. Use the same function for documents and queries, so that both live in one
-    vector space.
+    vector space. Places are sorted and counted by their runs, so a text costs its words once.
     """
     place = F.transform(
         words(F.col(column)),
         lambda w: (F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % dimensions),
     )
-    counted = with_columns_once(documents, {"_places": place})
-    count = F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)),
-        lambda i: (F.size("_places") - F.size(F.array_remove("_places", i))).cast("double"),
+    counted = with_columns_once(documents, {"_places": F.sort_array(place)})
+    last = F.filter(
+        F.sequence(F.lit(1), F.size("_places")),
+        lambda k: (k == F.size("_places")) | (F.get("_places", k) != F.get("_places", k - 1)),
     )
-    counted = with_columns_once(counted, {"_counts": F.when(F.size("_places") > 0, count)})
-    length = norm(F.col("_counts"))
-    scaled = with_columns_once(counted, {"_length": length})
-    unit = F.transform("_counts", lambda x: (x / F.col("_length")).cast("float"))
-    return with_columns_once(scaled, {VECTOR_FIELD: unit}).drop("_places", "_counts", "_length")
+    some = F.size("_places") > 0
+    counted = with_columns_once(counted, {"_last": F.when(some, last).otherwise(F.array().cast("array<int>"))})
+    # each run as (place, words, place of the run before)
+    before = F.transform(
+        "_last",
+        lambda k, j: F.struct(
+            F.get("_places", k - 1).alias("place"),
+            (k - F.coalesce(F.get("_last", j - 1), F.lit(0))).cast("double").alias("n"),
+            F.coalesce(F.get("_places", F.get("_last", j - 1) - 1), F.lit(-1)).alias("earlier"),
+        ),
+    )
+    counted = with_columns_once(counted, {"_runs": before})
+    squares = F.aggregate("_runs", F.lit(0.0), lambda total, r: total + r["n"] * r["n"])
+    counted = with_columns_once(counted, {"_length": F.sqrt(squares)})
+    filled = F.transform(
+        "_runs",
+        lambda r: F.concat(
+            F.array_repeat(F.lit(0.0), r["place"] - r["earlier"] - 1), F.array(r["n"] / F.col("_length"))
+        ),
+    )
+    rest = F.array_repeat(F.lit(0.0), F.lit(dimensions - 1) - F.element_at("_runs", -1)["place"])
+    vector = F.when(some, F.concat(F.flatten(filled), rest).cast(f"array<{element}>"))
+    return with_columns_once(counted, {VECTOR_FIELD: vector}).drop("_places", "_last", "_runs", "_length")
 
 
 def check_vectors(

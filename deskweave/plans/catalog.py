@@ -16,6 +16,8 @@ from ..operators.corpus import Corpus, key_collisions, latest_per_key, merge_ver
 from ..operators.documents import to_documents, with_content, with_vector
 from ..operators.schema import FIELD_FLAGS, MASKED_OK, UPDATED, corpus_schema, describe_schema
 from ..operators.scope import Scope, in_scope
+from ..operators.text_index import TextIndex
+from ..operators.vector_index import VectorIndex, nearest_batch
 from ..sources.lists import read_evaluation_set, read_groups
 from ..sources.marks import MarkStore
 from ..sources.pages import (
@@ -29,7 +31,8 @@ from ..sources.pages import (
     read_table,
     stream_pages,
 )
-from ..sources.space import fresh_dir
+from ..sources.quarantine import Quarantine
+from ..sources.space import fresh_dir, stored
 from ..streaming.ingest_stream import ingest_stream, stream_landed
 from .desk_tables import ALL_COLUMNS, BASE_URL, FROM_DOCUMENTS, groups, incidents, table, texts
 from .ingest import Options, run_ingest
@@ -513,6 +516,18 @@ def make_failing_detector():
     return detect
 
 
+def make_moody_detector():
+    """The same, refusing texts of an odd length."""
+    inner = make_email_detector()
+
+    def detect(texts: list[str], languages: list[str]) -> list[list[str]]:
+        if any(len(t) % 2 for t in texts):
+            raise RuntimeError("detector refused a text")
+        return inner(texts, languages)
+
+    return detect
+
+
 @register
 def mask_with_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = texts(spark, sf_dir).select("doc_id", "lang", "text")
@@ -532,6 +547,33 @@ def mask_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def quarantine_redrive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A detector refuses some texts in a first run and works in the next, which finds nothing
+    new landed: the corpus is that of a run without failure, and nothing is held any more."""
+    home = fresh_dir(spark, "quarantine")
+    corpus, marks = Corpus(spark, f"{home}/corpus", corpus_schema()), MarkStore(spark, f"{home}/mark")
+    quarantine = Quarantine(spark, f"{home}/held")
+    rows = incidents(spark, sf_dir)
+
+    def options(make) -> Options:
+        def mask(df: DataFrame) -> DataFrame:
+            return masking.mask_by_detector(df, make)
+
+        return Options(base_url=BASE_URL, mask=mask, on_mask_failure="quarantine", quarantine=quarantine)
+
+    failed = run_ingest(rows, corpus, marks, options(make_moody_detector)).pii_failures
+    run_ingest(rows.where(F.lit(False)), corpus, marks, options(make_email_detector))
+    held = quarantine.read().count()
+    return corpus.read().select(
+        "id",
+        F.length("content").cast("bigint").alias("chars"),
+        F.md5("content").alias("content_md5"),
+        F.lit(failed > 0).alias("some_failed"),
+        F.lit(held).cast("bigint").alias("held"),
+    )
+
+
 # --- corpus -----------------------------------------------------------------
 
 
@@ -826,10 +868,10 @@ def pages_to_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hash_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The offline vectors as their non-zero places."""
     rows = texts(spark, sf_dir).select(F.col("doc_id").alias("id"), "text")
-    vectors = embedding.hash_embed(rows, "text", 256)
+    vectors = embedding.hash_embed(rows, "text", 256, element="double")
     places = F.posexplode("contentVector").alias("place", "value")
     return vectors.select("id", places).where("value <> 0").select(
-        "id", "place", F.round(F.col("value").cast("double"), 4).alias("value")
+        "id", "place", F.round("value", 4).alias("value")
     )
 
 
@@ -899,8 +941,11 @@ def cosine_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _search_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a search may see: redacted and masked documents of all tickets."""
-    return masking.mask_by_pattern(to_documents(incidents(spark, sf_dir), BASE_URL))
+    """What a search may see, stored as a corpus is: documents of all tickets, their fields
+    redacted and their content masked."""
+    columns = dict.fromkeys(["id", *search.RESULT_COLUMNS, *search.SEARCHABLE])
+    documents = masking.mask_by_pattern(to_documents(incidents(spark, sf_dir), BASE_URL))
+    return stored(documents.select(*columns), "search-corpus")
 
 
 @register
@@ -923,10 +968,63 @@ def fulltext_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def batch_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best documents of every question of a question table, over all searchable fields."""
-    questions = table(spark, sf_dir, "benchmark").select(
+    return search.rank_text(_search_corpus(spark, sf_dir), _questions(spark, sf_dir))
+
+
+def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("qid"), F.col("text").alias("question")
     )
-    return search.rank_text(_search_corpus(spark, sf_dir), questions)
+
+
+@register
+def indexed_batch_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as batch_retrieval, from stored postings."""
+    index = TextIndex(spark, fresh_dir(spark, "postings"))
+    index.add(_search_corpus(spark, sf_dir))
+    return index.rank(_questions(spark, sf_dir))
+
+
+@register
+def index_upkeep_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as fulltext_topk, from postings of earlier versions that upserts brought up to
+    date: some documents came later, some had another text."""
+    corpus = _search_corpus(spark, sf_dir)
+    part = F.pmod(F.xxhash64("id"), F.lit(4))
+    other = F.when(part == 1, F.col("comments")).otherwise(F.col("description"))
+    earlier = corpus.withColumn("description", other).where(part != 0)
+    index = TextIndex(spark, fresh_dir(spark, "postings"))
+    index.add(earlier)
+    index.upsert(earlier, corpus.where(part == 1))
+    index.upsert(earlier, corpus.where(part == 0))
+    index.fold()
+    changed = corpus.where(part == 2).withColumn("comments", F.lit("on hold"))
+    index.upsert(corpus, changed)
+    index.upsert(changed, corpus.where(part == 2))
+    return index.search(SEARCH_TEXT, TOP_DOCUMENTS)
+
+
+def _asked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All vectors, and as queries those whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    asked = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    return vectors, asked
+
+
+@register
+def vector_batch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact nearest vectors of many queries."""
+    vectors, asked = _asked(spark, sf_dir)
+    return nearest_batch(vectors, asked, TOP_DOCUMENTS, "vec_id", "embedding", "qid", "embedding")
+
+
+@register
+def vector_index_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of many queries from an index of cells, all rows indexed."""
+    vectors, asked = _asked(spark, sf_dir)
+    index = VectorIndex(spark, fresh_dir(spark, "vector-index")).build(vectors, "vec_id", "embedding")
+    found = index.search(asked, TOP_DOCUMENTS, query_column="embedding")
+    return found.withColumnRenamed("key", "vec_id")
 
 
 # --- browsing ---------------------------------------------------------------

@@ -556,6 +556,10 @@ SELECT doc_id, masked AS text, CAST({mark_count.format("masked")}
 SELECT masked_ok, count(*) AS documents, CAST(sum({mark_count.format("masked")}
   - {mark_count.format("before")}) AS BIGINT) AS occurrences,
   CAST(sum(length(masked)) AS BIGINT) AS chars FROM m GROUP BY masked_ok""",
+        "quarantine_redrive": _with(*DOCUMENTS)
+        + f""", m AS (SELECT id, {mask_emails} AS masked FROM (SELECT id, content AS text FROM document))
+SELECT id, length(masked) AS chars, md5(masked) AS content_md5, TRUE AS some_failed,
+  CAST(0 AS BIGINT) AS held FROM m""",
         "latest_version": _with(INCIDENT)
         + f"""SELECT {key("number")} AS id,
   CASE WHEN doc_id % 3 = 0 THEN 'newer' ELSE priority END AS priority,
@@ -686,6 +690,19 @@ FROM embeddings ORDER BY score DESC, vec_id LIMIT {catalog.TOP_DOCUMENTS}""",
         "assignment_group_name, score FROM ranked JOIN searched USING (id)",
         "batch_retrieval": _bm25(BENCHMARK, 5)
         + "SELECT qid, id, score, CAST(rank AS INTEGER) AS rank FROM ranked",
+        "indexed_batch_retrieval": _bm25(BENCHMARK, 5)
+        + "SELECT qid, id, score, CAST(rank AS INTEGER) AS rank FROM ranked",
+        "index_upkeep_search": _bm25(
+            f"SELECT 0 AS qid, {_text(catalog.SEARCH_TEXT)} AS question", catalog.TOP_DOCUMENTS
+        )
+        + "SELECT CAST(rank AS INTEGER) AS rank, id, number, short_description, "
+        "assignment_group_name, score FROM ranked JOIN searched USING (id)",
+        "vector_batch_topk": f"""WITH pair AS (
+  SELECT q.vec_id AS qid, e.vec_id, round(list_cosine_similarity(
+    CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score
+  FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0)
+SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score FROM pair WHERE score IS NOT NULL QUALIFY rank <= {catalog.TOP_DOCUMENTS}""",
         "vector_text_topk": _with(*MASKED_DOCUMENTS)
         + rf""", question AS (SELECT '' AS id, {_text(catalog.SEARCH_TEXT)} AS content),
 word AS (

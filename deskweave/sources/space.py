@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,3 +29,10 @@ def hadoop_path(spark: SparkSession, path: str):
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, jvm_path = hadoop_path(spark, path)
     return fs.exists(jvm_path)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` written in the shared folder and read again, so that what is behind it runs once."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

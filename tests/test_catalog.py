@@ -31,7 +31,8 @@ def plain(value):
 
 def test_every_check_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) == set(SQL)
+    # an approximate search has no SQL; tests/test_vector_index.py measures its recall
+    assert set(QUERIES) - set(SQL) == {"vector_index_topk"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

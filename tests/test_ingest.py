@@ -12,6 +12,7 @@ from deskweave.operators.scope import Scope
 from deskweave.plans.ingest import Options, run_ingest
 from deskweave.sources.marks import MarkStore
 from deskweave.sources.pages import RECORD_SCHEMA
+from deskweave.sources.quarantine import Quarantine
 from deskweave.streaming.ingest_stream import ingest_stream, stream_landed
 
 BASE = "https://desk.example.com"
@@ -276,3 +277,103 @@ def test_other_streams_and_a_recreated_corpus_lose_nothing(spark, home, tmp_path
     corpus.recreate(confirmed=True)
     run("third", ticket("C", T1))
     assert keys(corpus) == ["C"]
+
+
+# --- quarantine -------------------------------------------------------------
+
+
+def _detector(*refused):
+    def make():
+        def detect(texts, languages):
+            if any(word in t for t in texts for word in refused):
+                raise RuntimeError
+            return [[w for w in t.split() if "@" in w] for t in texts]
+
+        return detect
+
+    return make
+
+
+def _held(quarantine):
+    return sorted((r["number"], r["attempts"]) for r in quarantine.read().collect())
+
+
+def test_quarantine_is_driven_again(spark, home, tmp_path):
+    corpus, marks = home
+    quarantine = Quarantine(spark, str(tmp_path / "held"))
+
+    def options(*refused):
+        def mask(df):
+            return masking.mask_by_detector(df, _detector(*refused))
+
+        return Options(base_url=BASE, mask=mask, quarantine=quarantine, on_mask_failure="quarantine")
+
+    rows = tickets(
+        spark,
+        ticket("A", T1, comments="broken a@b.c"),
+        ticket("B", T1, comments="worse"),
+        ticket("C", T2, comments="good x@y.z"),
+    )
+    stats = run_ingest(rows, corpus, marks, options("broken", "worse"))
+    assert (stats.written, stats.pii_failures, keys(corpus)) == (1, 2, ["C"]) and marks.read() == T2
+    assert _held(quarantine) == [("A", 1), ("B", 1)]
+
+    # nothing new; B still fails, A passes
+    run_ingest(rows.where("false"), corpus, marks, options("worse"))
+    assert keys(corpus) == ["A", "C"] and _held(quarantine) == [("B", 2)]
+
+    # a newer version of B passes and replaces the one held
+    newer = tickets(spark, ticket("B", T2, comments="mended", priority="1 - Critical"))
+    run_ingest(newer, corpus, marks, options("worse"))
+    assert keys(corpus) == ["A", "B", "C"] and _held(quarantine) == []
+    found = {r["id"]: r for r in corpus.read().collect()}
+    assert found["B"]["priority"] == "1 - Critical" and "a@b.c" not in found["A"]["content"]
+
+
+def test_a_run_that_dies_after_the_merge_loses_nothing(spark, home, tmp_path, monkeypatch):
+    corpus, marks = home
+    quarantine = Quarantine(spark, str(tmp_path / "held"))
+
+    def options(*refused):
+        def mask(df):
+            return masking.mask_by_detector(df, _detector(*refused))
+
+        return Options(base_url=BASE, mask=mask, quarantine=quarantine)
+
+    rows = tickets(spark, ticket("A", T1, comments="broken"), ticket("B", T2))
+    run_ingest(rows, corpus, marks, options("broken"))
+    real, calls = Quarantine.write, []
+
+    def dies(self, held):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        real(self, held)
+
+    more = tickets(spark, ticket("C", T2, comments="broken"), ticket("D", T2))
+    monkeypatch.setattr(Quarantine, "write", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        run_ingest(more, corpus, marks, options("nothing like it"))
+    monkeypatch.setattr(Quarantine, "write", real)
+    run_ingest(more, corpus, marks, options("nothing like it"))
+    assert keys(corpus) == ["A", "B", "C", "D"] and _held(quarantine) == []
+
+
+def test_quarantine_of_a_stream(spark, tmp_path):
+    corpus = Corpus(spark, str(tmp_path / "corpus"), corpus_schema(16))
+    quarantine, landed = Quarantine(spark, str(tmp_path / "held")), str(tmp_path / "landed")
+
+    def run(*refused):
+        def mask(df):
+            return masking.mask_by_detector(df, _detector(*refused))
+
+        stream = stream_landed(spark, landed, RECORD_SCHEMA)
+        chosen = Options(base_url=BASE, mask=mask, quarantine=quarantine)
+        ingest_stream(stream, corpus, str(tmp_path / "checkpoint"), chosen).awaitTermination()
+
+    tickets(spark, ticket("A", T1, comments="broken"), ticket("B", T2)).select(*RECORD_SCHEMA.names).write.parquet(landed)
+    run("broken")
+    assert keys(corpus) == ["B"] and _held(quarantine) == [("A", 1)]
+    tickets(spark, ticket("C", T2)).select(*RECORD_SCHEMA.names).write.mode("append").parquet(landed)
+    run()
+    assert keys(corpus) == ["A", "B", "C"] and _held(quarantine) == []
