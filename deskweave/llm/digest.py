@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 24  # bytes of a feature
@@ -200,35 +200,47 @@ NEIGHBOURS = (
 )
 
 
+def _edges_above(edges: list[int], value: Column) -> Column:
+    """How many of the falling `edges` lie above a value, looked up in two steps."""
+    if not edges:
+        return F.lit(0)
+    width = max(1, round(len(edges) ** 0.5))
+    groups = [edges[i : i + width] for i in range(0, len(edges), width)]
+    reached = F.size(F.filter(F.lit([g[0] for g in groups]), lambda e: e > value))
+    group = F.element_at(F.array(*[F.lit(g) for g in groups]), F.greatest(reached, F.lit(1)))
+    return F.when(reached == 0, 0).otherwise((reached - 1) * width + F.size(F.filter(group, lambda e: e > value)))
+
+
 def _in_order(docs: DataFrame, parts: int) -> DataFrame:
     """Documents by descending id in partitions; each ends with the first of the next one.
 
-    Ranges come from approximate quantiles of the ids. The first document of a range (of the
+    Ranges come from approximate quantiles of the ids; rows without an id are split by the hash
+    of their text, as many ranges as their share needs. The first document of a range (of the
     highest range: of the whole order) is sent to the range before it as well, as a guest.
     """
-    bounds = docs.agg(
-        F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)
-    ).first()[0]
-    edges = sorted(set(bounds or []), reverse=True)
-    # the number of a range counts the edges at or above the id; null ids come last
-    above = F.size(F.filter(F.lit(edges), lambda e: e > F.col("doc_id"))) if edges else F.lit(0)
-    last = F.lit(len(edges) + 1)
-    ranged = docs.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(above))
+    quantiles = F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)
+    known = docs.agg(quantiles.alias("bounds"), F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("n")).first()
+    edges = sorted(set(known["bounds"] or []), reverse=True)
+    nameless = max(1, round(parts * (1 - known["named"] / max(1, known["n"]))))
+    ranged = docs.withColumn("tie", F.xxhash64("text"))
+    share = ((F.col("tie").cast("double") + 2.0**63) / 2.0**64 * nameless).cast("int")
+    last = F.lit(len(edges) + 1) + F.least(share, F.lit(nameless - 1))
+    above = _edges_above(edges, F.col("doc_id"))
+    ranged = ranged.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(above))
     order = (F.col("doc_id").desc_nulls_last(), F.col("tie"))
-    ranged = ranged.withColumn("tie", F.xxhash64("text"))
     down = F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1))
     first_id = F.struct(down.alias("i"), "tie")
     heads = sorted(
         (r["range"], r["head"]["i"], r["head"]["tie"])
         for r in ranged.groupBy("range").agg(F.min(first_id).alias("head")).collect()
     )
-    goes_to = F.lit(None).cast("int")
-    for k, (number, low, tie) in enumerate(heads):
-        before = heads[k - 1][0]
-        is_head = (F.col("range") == number) & (down == low) & (F.col("tie") == tie)
-        goes_to = F.when(is_head, before).otherwise(goes_to)
+    # one row a range: the first document's place, and the range that has it as its guest
+    table = [(number, low, tie, heads[k - 1][0]) for k, (number, low, tie) in enumerate(heads)]
+    firsts = docs.sparkSession.createDataFrame(table, "range int, low long, first long, goes_to int")
     own = ranged.withColumn("guest", F.lit(False))
-    guests = ranged.withColumn("range", goes_to).where("range is not null").withColumn("guest", F.lit(True))
+    is_head = (down == F.col("low")) & (F.col("tie") == F.col("first"))
+    guests = ranged.join(F.broadcast(firsts), "range").where(is_head)
+    guests = guests.select(*docs.columns, "tie", F.col("goes_to").alias("range"), F.lit(True).alias("guest"))
     dealt = own.unionByName(guests).repartitionById(parts, F.col("range") % parts)
     return dealt.sortWithinPartitions("range", "guest", *order).select(
         "range", "guest", "doc_id", "text"

@@ -23,6 +23,7 @@ LABELS = 2 * len(KINDS) + 1
 SHAPES = 1 << 12
 FEATURES = ("shape", "before", "after", "pair", "ends")
 SAMPLE_ROWS = 1200
+SAMPLE_CHARS = 50_000  # of a document in the sample
 EPOCHS = 4
 BATCH_TOKENS = 400_000
 
@@ -338,11 +339,16 @@ def find(model: dict[str, np.ndarray], texts: list[str | None]):
 def labelled_table(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS
 ) -> DataFrame:
-    """A small labelled table: about `rows` documents, chosen by id hash, with base spans."""
-    share = min(1.0, rows / max(1, docs.count()))
-    bucket = F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(1 << 20))
-    chosen = docs.where(bucket < int(share * (1 << 20)))
-    chosen = chosen.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
+    """A small labelled table: at most `rows` documents of SAMPLE_CHARS characters or less, with
+    base spans.
+
+    Chosen by the hash of id and text, so null and repeated ids count as any others; of equal
+    rows one is taken.
+    """
+    own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(f"`{text}`", F.lit("")).alias("text"))
+    own = own.where(F.length("text") <= SAMPLE_CHARS).withColumn("_h", F.xxhash64("doc_id", "text"))
+    last = own.select("_h").distinct().orderBy("_h").limit(rows).agg(F.max("_h")).first()[0]
+    chosen = own.where(F.col("_h") <= F.lit(last).cast("long")).dropDuplicates(["_h"]).drop("_h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

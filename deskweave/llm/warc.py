@@ -17,6 +17,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,7 @@ from .common import fresh_dir, stored
 MIN_BYTES = 100  # smaller payloads are always stored
 DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 10_000
+READ_BYTES = 16_384  # handed to the decompressor at once; it copies what is left behind a member
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PARSED = (
@@ -82,9 +84,14 @@ def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 1
         if at >= len(view):
             return
-        member = zlib.decompressobj(31)
-        record = member.decompress(view[at:])
-        at = len(view) - len(member.unused_data)
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            block = view[at : at + READ_BYTES]
+            if not block:
+                raise ValueError("the archive ends within a record")
+            parts.append(member.decompress(block))
+            at += len(block) - len(member.unused_data)
+        record = b"".join(parts)
         head, _, rest = record.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "surrogatepass").split("\r\n")[1:]
         fields = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
@@ -119,9 +126,9 @@ def revisits(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
 def write_archives(
     pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html",
-    min_bytes: int = MIN_BYTES, level: int = 6,
+    min_bytes: int = MIN_BYTES, level: int = 6, date: str | None = None,
 ) -> None:
-    """Write `pages` as deduplicated archives below `path`.
+    """Write `pages` as deduplicated archives below `path`, dated `date` (now).
 
     A null html is an empty payload, a null url leaves its header out. Repeated rows give
     repeated records. Other columns are ignored. An empty table gives an empty archive.
@@ -140,6 +147,8 @@ def write_archives(
         "page_id", "uri", "payload", "digest", "original", "original_uri"
     )
 
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             members = []
@@ -147,7 +156,7 @@ def write_archives(
                 row = [column[i].as_py() for column in batch.columns]
                 original = None if row[4] is None else (row[4], row[5])
                 body = row[2].encode("utf-8", "surrogatepass")
-                record = make_record(row[0], row[1], body, row[3], original)
+                record = make_record(row[0], row[1], body, row[3], original, date)
                 packer = zlib.compressobj(level, zlib.DEFLATED, 31)
                 member = packer.compress(record) + packer.flush()
                 members.append(member[:-1] if member[-1] == 0 else member)

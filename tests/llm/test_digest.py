@@ -85,3 +85,31 @@ def test_repeated_single_and_no_rows(spark, make_docs):
     assert len(rows) == 1 and rows[0]["near_next"] == 1.0
     assert digest.neighbour_report(make_docs([])).count() == 0
     assert {r["doc_id"] for r in digest.neighbour_report(make_docs([(None, "a"), (None, None)])).collect()} == {None}
+
+
+def test_rows_without_id_are_split_by_text(spark, make_docs):
+    docs = make_docs([(None, f"text number {i} " * (i % 7)) for i in range(60)] + [(i, f"named {i}") for i in range(30)])
+    ties = {r["text"]: r["tie"] for r in docs.select("text", F.xxhash64("text").alias("tie")).collect()}
+    order = sorted((r["doc_id"] is None, -(r["doc_id"] or 0), ties[r["text"]], r["text"]) for r in docs.collect())
+    want = []
+    for (_, down, _, t), (*_, later) in zip(order, order[1:] + order[:1], strict=True):
+        k = len(t) // 3
+        want.append((len(t), hashlib.sha256((t[: len(t) - k] + later[:k]).encode()).hexdigest()))
+    got = [(r["n_chars"], r["edited_sha256"]) for r in digest.neighbour_report(docs).collect()]
+    assert sorted(got) == sorted(want)
+    ranges = digest._in_order(docs.select("doc_id", "text"), 9).where("doc_id is null and not guest")
+    assert ranges.select("range").distinct().count() > 3
+
+
+def test_plans_with_many_partitions(spark, make_docs):
+    edges = list(range(9000, 0, -3))
+    above = digest._edges_above(edges, F.col("id"))
+    assert spark.range(-5, 9010).where(above != F.greatest(F.lit(0), F.least(F.lit(3000), F.floor((9002 - F.col("id")) / 3)))).count() == 0
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 3000)
+    try:
+        docs = make_docs([(i, "some text") for i in range(9000)]).coalesce(2)
+        plan = digest._in_order(docs.select("doc_id", "text"), 3000)._jdf.queryExecution().executedPlan().toString()
+        assert "range" in plan
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

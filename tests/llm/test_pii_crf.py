@@ -118,3 +118,13 @@ def test_query_columns_and_masks(spark, make_docs):
 
 def test_masked_merges_overlaps():
     assert pii_crf.masked("abcdef", [(0, 1, 3), (3, 2, 5)]) == "a[EMAIL]f"
+
+
+def test_the_sample_is_bounded_whatever_the_ids(make_docs):
+    rows = [(None, f"text {i} a@b{i}.org") for i in range(300)] + [(7, f"other {i}") for i in range(300)]
+    rows += [(i, "same") for i in range(50)] + [(3, "same")] * 30 + [(1, "x" * 60_000)]
+    chosen = pii_crf.labelled_table(make_docs(rows), rows=100).collect()
+    assert len(chosen) == 100 and {r["doc_id"] is None for r in chosen} == {True, False}
+    everything = pii_crf.labelled_table(make_docs(rows), rows=10**6).collect()
+    assert len(everything) == 650 and max(len(r["text"]) for r in everything) <= pii_crf.SAMPLE_CHARS
+    assert pii_crf.labelled_table(make_docs([])).count() == 0

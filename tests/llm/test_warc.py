@@ -78,3 +78,28 @@ def test_revisit_without_its_original(spark):
     rows = [("r1", "revisit", None, 4, "gone", None, "abc")]
     found = warc.resolve(spark.createDataFrame(rows, warc.PARSED)).first()
     assert tuple(found) == (4, None, "abc", "revisit", None)
+
+
+def test_reading_is_linear():
+    import os
+    import time
+    import zlib
+
+    members = []
+    for i in range(8_000):
+        packer = zlib.compressobj(1, zlib.DEFLATED, 31)
+        record = warc.make_record(i, None, os.urandom(6_000).hex()[:8_000].encode(), "0" * 64)
+        members.append(packer.compress(record) + packer.flush())
+    started = time.perf_counter()
+    assert [f["page-id"] for f, _ in warc.parse_archive(b"".join(members))] == [str(i) for i in range(8_000)]
+    assert time.perf_counter() - started < 10
+
+
+def test_a_cut_archive_is_refused():
+    import gzip
+
+    import pytest
+
+    whole = gzip.compress(warc.make_record(1, None, b"x" * 500, "0" * 64))
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.parse_archive(whole[:-20]))
