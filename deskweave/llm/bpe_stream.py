@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 BLOCK = 65_536  # characters of a text worked on at once
 WINDOW = 1_024  # symbols a transducer collects beyond the lookahead before it emits
 SHORT, NEVER = 24, 2**62  # symbols merged without a queue; the rank of a pair that is not merged
-MEMO, MEMO_CHARS = 300_000, 64  # words whose tokens a task remembers, and their length
+MEMO, MEMO_CHARS = 400_000, 64  # words whose tokens a task remembers, and their length
 FAMILIES = (("L", r"\p{L}"), ("P", r"[^\s\p{L}\p{N}]"))  # runs that a piece may consist of
 
 
@@ -96,13 +96,15 @@ def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     parts: list[str | None] = list(symbols)
     if len(parts) <= SHORT:
         get = ranks.get
-        while len(parts) > 1:
-            found = [get(pair, NEVER) for pair in zip(parts, parts[1:])]
-            least = min(found)
-            if least == NEVER:
-                break
+        found = [get(pair, NEVER) for pair in zip(parts, parts[1:])]
+        while found and (least := min(found)) != NEVER:
             i = found.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            parts[i] += parts.pop(i + 1)
+            del found[i]
+            if i:
+                found[i - 1] = get((parts[i - 1], parts[i]), NEVER)
+            if i < len(found):
+                found[i] = get((parts[i], parts[i + 1]), NEVER)
         return parts
     end = len(parts)
     after, before = list(range(1, end + 1)), list(range(-1, end - 1))
@@ -131,8 +133,8 @@ class Transducer:
     def __init__(self, vocabulary: Vocabulary, window: int = WINDOW):
         self.vocabulary, self.window, self.held = vocabulary, window, []
 
-    def push(self, text: str) -> Iterator[int]:
-        v = self.vocabulary
+    def push(self, text: str) -> list[int]:
+        v, out = self.vocabulary, []
         for at in range(0, len(text), self.window // 4 or 1):
             part = text[at : at + (self.window // 4 or 1)].encode("utf-8", "surrogatepass")
             self.held += [v.symbols[b] for b in part]
@@ -144,16 +146,17 @@ class Transducer:
                     if done + v.length(token) + v.lookahead > len(self.held):
                         break
                     done += v.length(token)
-                    yield v.ids[token]
+                    out.append(v.ids[token])
                 self.held = [*self.held[done:], last]
+        return out
 
-    def finish(self) -> Iterator[int]:
-        v = self.vocabulary
-        if self.held:
-            self.held[-1] += v.suffix
-            for token in merged(self.held, v.ranks):
-                yield v.ids[token]
+    def finish(self) -> list[int]:
+        v, held = self.vocabulary, self.held
+        if not held:
+            return []
         self.held = []
+        held[-1] += v.suffix
+        return [v.ids[token] for token in merged(held, v.ranks)]
 
 
 class Encoder:
@@ -161,7 +164,8 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, block: int = BLOCK):
         self.vocabulary, self.block = vocabulary, block
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, list[int]] = {}  # of pieces, and of runs of them between blanks
+        self.machine = Transducer(vocabulary)
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))))
         self.runs = {name: regex.compile(f"{family}*") for name, family in FAMILIES}
         self.kinds = [(name, regex.compile(family)) for name, family in FAMILIES]
@@ -210,8 +214,9 @@ class Encoder:
             kept = len(rest)
             if following is None:
                 known = self.memo.get
-                for word in self.vocabulary.piece.findall(rest):
-                    found += known(word) or self._word(word)
+                for run in rest.replace("\n", " ").split(" "):  # no piece holds white space
+                    if run:
+                        found += known(run) or self._run(run)
             else:
                 for piece in self.vocabulary.piece.finditer(rest):
                     if piece.end() > safe:
@@ -229,19 +234,28 @@ class Encoder:
             yield found
             block = following
         if open_run is not None:
-            yield list(open_run[0].finish())
+            yield open_run[0].finish()
+
+    def _run(self, run: str) -> list[int]:
+        """Ids of a text between blanks."""
+        pieces = self.vocabulary.piece.findall(run)
+        if pieces == [run]:
+            return self._word(run)
+        return self._remembered(run, [i for piece in pieces for i in self._word(piece)])
 
     def _word(self, word: str) -> list[int]:
         known = self.memo.get(word)
         if known is None:
-            transducer = Transducer(self.vocabulary)
-            known = [*transducer.push(word), *transducer.finish()]
-            if len(word) <= MEMO_CHARS:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[word] = known
+            known = self._remembered(word, self.machine.push(word) + self.machine.finish())
         return known
 
+    def _remembered(self, text: str, ids: list[int]) -> list[int]:
+        if len(text) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[text] = ids
+        return ids
+
 
 class Decoder:
     """Token ids to text, id by id.
@@ -272,6 +286,19 @@ class Decoder:
         return ("".join(parts) + machine.decode(b"", True)).removesuffix(" ")
 
 
+_kept: dict[tuple[str, int], object] = {}
+
+
+def _once(make, definition: str):
+    """What `make` builds from a vocabulary, kept by a worker process for its next tasks."""
+    key = (make.__name__, hash(definition))
+    if key not in _kept:
+        if len(_kept) > 3:
+            _kept.clear()
+        _kept[key] = make(Vocabulary(definition))
+    return _kept[key]
+
+
 def read_vocabulary(path: str) -> str:
     """The text of a vocabulary file, read where the plan is made and sent to the tasks."""
     with open(path, encoding="utf-8") as file:
@@ -303,7 +330,7 @@ def encode(docs: DataFrame, definition: str, text: str = "text") -> DataFrame:
     """
 
     def make():
-        encoder = Encoder(Vocabulary(definition))
+        encoder = _once(Encoder, definition)
 
         def change(texts: pa.Array) -> pa.Array:
             offsets, parts = [0], []
@@ -328,11 +355,11 @@ def decode(encoded: DataFrame, definition: str, ids: str = "ids", form: str = "t
     """
 
     def make():
-        decoder = Decoder(Vocabulary(definition))
+        decoder = _once(Decoder, definition)
         turn = {"text": decoder.text, "tokens": decoder.tokens}[form]
 
         def change(lists: pa.Array) -> pa.Array:
-            return pa.array([turn(x.as_py() or ()) for x in lists], pa.string())
+            return pa.array([turn(x or ()) for x in lists.to_pylist()], pa.string())
 
         return change
 
