@@ -27,6 +27,7 @@ from ..functions.personal_data import (
     span_values,
 )
 from ..functions.text import or_empty
+from .names import find_names
 from .once import with_columns_once
 from .schema import MASKED_OK
 
@@ -190,14 +191,11 @@ def detect_names(
 ) -> DataFrame:
     """PERSON hits of a name dictionary (name, score): key, value, hits, score.
 
-    Words of the texts are counted by text before they are joined; of a name listed more
-    than once the best score counts, and names below the threshold are left out.
+    Names may have several words, apostrophes and hyphens; what counts is the leftmost and
+    longest name, see `names.find_names`.
     """
-    known = names.where("name <> ''").groupBy(F.col("name").alias("value"))
-    known = known.agg(F.max("score").alias("score")).where(F.col("score") >= threshold)
-    words = F.regexp_extract_all(or_empty(F.col(text)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    found = rows.select(key, F.explode(words).alias("value")).groupBy(key, "value")
-    return found.agg(F.count(F.lit(1)).alias("hits")).join(known, "value")
+    found = find_names(rows, names, text, key, threshold)
+    return found.groupBy(key, "value").agg(F.sum("copies").alias("hits"), F.max("score").alias("score"))
 
 
 def split_unmasked(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -14,6 +14,7 @@ from ..functions import cells, dates, personal_data, redaction, text
 from ..operators import browse, embedding, masking, profile, scope, search
 from ..operators.corpus import Corpus, key_collisions, latest_per_key, merge_versions
 from ..operators.documents import to_documents, with_content, with_vector
+from ..operators.names import find_names
 from ..operators.schema import FIELD_FLAGS, MASKED_OK, UPDATED, corpus_schema, describe_schema
 from ..operators.scope import Scope, in_scope
 from ..operators.text_index import TextIndex
@@ -435,6 +436,26 @@ def person_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "value", "hits", F.round("score", 6).alias("score"))
 
 
+@register
+def person_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of one to four words (first words of the benchmark texts) in all texts, with places."""
+    word, gap = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
+    name = F.lit(None).cast("string")
+    for more in range(4):
+        start = F.regexp_extract("text", f"^{word}(?:{gap}{word}){{{more}}}", 0)
+        name = F.when(F.col("item_id") % 4 == more, start).otherwise(name)
+    score = F.lit(0.3) + (F.col("item_id") % 5) * 0.1
+    names = table(spark, sf_dir, "benchmark").select(name.alias("name"), score.alias("score"))
+    found = find_names(texts(spark, sf_dir), names)
+    return found.select(
+        "doc_id",
+        "value",
+        F.col("start").cast("long").alias("start_at"),
+        F.col("end").cast("long").alias("end_at"),
+        F.round("score", 6).alias("score"),
+    )
+
+
 @register
 def pii_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = texts(spark, sf_dir).select("doc_id", "text")

@@ -673,6 +673,37 @@ FROM scaled""",
 word AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}]+')) AS value FROM documents)
 SELECT doc_id, value, count(*) AS hits, round(CAST(any_value(score) AS DOUBLE), 6) AS score
 FROM word JOIN name USING (value) GROUP BY doc_id, value""",
+        "person_names": r"""WITH RECURSIVE listed AS (
+  SELECT regexp_replace(CASE item_id % 4
+      WHEN 0 THEN regexp_extract(text, '^[\p{L}\p{N}]+')
+      WHEN 1 THEN regexp_extract(text, '^[\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){1}')
+      WHEN 2 THEN regexp_extract(text, '^[\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){2}')
+      ELSE regexp_extract(text, '^[\p{L}\p{N}]+(?:[^\p{L}\p{N}]+[\p{L}\p{N}]+){3}')
+    END, '[ \t\n\x0B\f\r]+', ' ', 'g') AS value, max(0.3 + (item_id % 5) * 0.1) AS score
+  FROM benchmark GROUP BY 1 HAVING value <> '' AND score >= 0.4),
+token AS (SELECT doc_id, length(text) AS n,
+  regexp_extract_all(text, '[\p{L}\p{N}]+[^\p{L}\p{N}]*') AS t FROM documents),
+word AS (SELECT doc_id, n, unnest(t) AS w, unnest(range(len(t))) AS i FROM token),
+placed AS (SELECT doc_id, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3,
+  n - sum(length(w)) OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS start_at
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+run AS (SELECT doc_id, start_at, unnest([w, w || w1, w || w1 || w2, w || w1 || w2 || w3]) AS raw FROM placed),
+core AS (SELECT doc_id, start_at, regexp_extract(raw, '(?s)^.*[\p{L}\p{N}]') AS core FROM run
+  WHERE raw IS NOT NULL),
+hit AS (SELECT doc_id, start_at, start_at + length(core) AS end_at, value, score
+  FROM core JOIN listed ON value = regexp_replace(core, '[ \t\n\x0B\f\r]+', ' ', 'g')),
+longest AS (SELECT * FROM hit
+  QUALIFY row_number() OVER (PARTITION BY doc_id, start_at ORDER BY end_at DESC) = 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start_at) AS k FROM longest),
+scan AS (
+  SELECT doc_id, k, end_at AS reach, true AS kept FROM numbered WHERE k = 1
+  UNION ALL
+  SELECT m.doc_id, m.k, CASE WHEN m.start_at >= s.reach THEN m.end_at ELSE s.reach END, m.start_at >= s.reach
+  FROM scan s JOIN numbered m ON m.doc_id = s.doc_id AND m.k = s.k + 1)
+SELECT doc_id, value, CAST(start_at AS BIGINT) AS start_at, CAST(end_at AS BIGINT) AS end_at,
+  round(CAST(score AS DOUBLE), 6) AS score
+FROM numbered JOIN scan USING (doc_id, k) WHERE kept""",
         "content_filter": """SELECT count(*) AS documents,
   CAST(sum(length(text)) AS BIGINT) AS chars FROM documents
 WHERE lang <> 'de' AND text <> ''""",
