@@ -103,19 +103,21 @@ def op9_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in; then very short ones are deleted, and digits are masked in those
-    with addresses, twice."""
+    """All documents come in; then, twice, the batch that `labels` names: documents of quality 0
+    are deleted, toxic ones lose their words with digits and move to a source of their own."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     counters = {"words": token_counts.count_words, token_counts.BPE_NAME: token_counts.count_bpe()}
     rollup = token_counts.Rollup(spark, fresh_dir(spark, "token-counts"), counters)
     rollup.commit(1, docs.withColumn("deleted", F.lit(False)))
-    short = word_count(F.col("text")) < 5
-    changes = docs.where(short | F.col("text").contains("@")).select(
+    named = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        (F.min("quality") == 0).alias("deleted"), (F.max("toxic") == 1).alias("toxic")
+    )
+    changes = docs.join(named.where("deleted OR toxic"), "doc_id").select(
         "doc_id",
-        "source",
+        F.concat("source", F.lit(" toxic")).alias("source"),
         "lang",
-        F.regexp_replace("text", "[0-9]", "#").alias("text"),
-        short.alias("deleted"),
+        F.regexp_replace("text", r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", "").alias("text"),
+        "deleted",
     )
     rollup.commit(2, changes)
     rollup.commit(2, changes)  # delivered again, changes nothing

@@ -5,17 +5,19 @@ language and tokenizer version. A ledger keeps the counts of every document, so
 revision or deletion takes back exactly what the document had added. Totals are sums of the
 committed deltas; documents are never counted again.
 
-Each batch has a number and two folders: its ledger rows, then its delta. The delta's
-`_SUCCESS` file commits the batch. A batch that is committed is skipped when it comes again;
+Each batch has a number and three folders: its counted changes, its ledger rows (each with what
+it replaces), then its delta. The delta's `_SUCCESS` file commits the batch. A batch that is committed is skipped when it comes again;
 what an interrupted attempt left is overwritten.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.space import path_exists
@@ -24,7 +26,10 @@ from .common import word_count
 BPE_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 BPE_NAME = "byte_bpe_50k"
 GROUP = ("source", "lang", "tokenizer")
-LEDGER = "doc_id long, tokenizer string, source string, lang string, tokens long, batch long"
+KEY = ("doc_id", "text_key", "tokenizer")
+STATE = ("source", "lang", "tokens", "copies")
+LEDGER = """doc_id long, text_key string, tokenizer string, source string, lang string, tokens long,
+copies long, old_source string, old_lang string, old_tokens long, old_copies long, batch long"""
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
 # (a table with a `text` column, name of the new column, whether to keep the text)
@@ -105,11 +110,15 @@ class Rollup:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
-    def ledger(self) -> DataFrame:
-        """The counts of every document as of its last batch; null where it is deleted."""
-        last = Window.partitionBy("doc_id", "tokenizer").orderBy(F.col("batch").desc())
-        rows = self._read("ledger", LEDGER).withColumn("_n", F.row_number().over(last))
-        return rows.where("_n = 1").drop("_n")
+    def ledger(self, touched: DataFrame | None = None) -> DataFrame:
+        """The state of every document (of those `touched`) as of its last batch; `copies` is 0
+        where it is deleted, `text_key` is null where it has an id."""
+        rows = self._read("ledger", LEDGER)
+        if touched is not None:
+            named, same = _same(rows, touched.select(*KEY))
+            rows = rows.join(named, same, "left_semi")
+        last = F.max_by(F.struct(*STATE), "batch")  # combined before the shuffle
+        return rows.groupBy(*KEY).agg(last.alias("s")).select(*KEY, "s.*")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, docs, tokens: sums of all committed deltas."""
@@ -122,11 +131,14 @@ class Rollup:
         """Apply a batch (doc_id, source, lang, text, deleted); False if it was applied before.
 
         A document not deleted is new or revised. Batches are applied in the order of their
-        numbers. Of several rows of one document in a batch a deletion goes first, then the
-        text with the greatest MD5 counts. Texts are counted where they are read; only numbers
-        are shuffled. Null ids are one document; a null text has no tokens; null
-        sources and languages are groups of their own. Other columns are ignored. An empty
-        batch commits and changes nothing.
+        numbers. Of several rows of one id in a batch a deletion goes first, then the text
+        with the greatest MD5 counts, then the greatest source and language. Every row without
+        id is a document of its own, known by source, language and text: a batch adds one copy
+        for each row and takes one back for each deleted row, down to none. Texts are counted
+        where they are read; only numbers are shuffled, equal keys are combined before. A null
+        text has no tokens; null sources and languages are groups of their own. Other columns
+        are ignored. An empty batch commits and changes nothing. Of the ledger only the rows of
+        touched documents are grouped.
         """
         if self.committed(batch):
             return False
@@ -138,30 +150,48 @@ class Rollup:
         names = list(self.tokenizers)
         for i, name in enumerate(names):
             rows = self.tokenizers[name](rows, f"n{i}", i < len(names) - 1)
-        order = (F.desc("deleted"), F.desc_nulls_last("key"), "source", "lang")
-        last = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-        each = F.array(
-            *[F.struct(F.lit(n).alias("tokenizer"), F.col(f"n{i}").alias("n")) for i, n in enumerate(names)]
+        own = F.when(F.col("doc_id").isNull(), F.md5(F.to_json(F.struct("source", "lang", "key"))))
+        pick = F.max(F.struct("deleted", "key", "source", "lang", *[f"n{i}" for i in range(len(names))]))
+        grouped = rows.groupBy("doc_id", own.alias("text_key")).agg(
+            pick.alias("p"), F.sum(F.when(F.col("deleted"), -1).otherwise(1)).alias("more")
         )
-        counted = rows.withColumn("_n", last).where("_n = 1").select("*", F.inline(each)).select(
-            "doc_id", "tokenizer", "source", "lang",
-            F.when(~F.col("deleted"), F.col("n")).alias("tokens"),
-            F.lit(batch).cast("long").alias("batch"),
-        )
-        before = self.ledger().where("tokens is not null")
-        counted.write.mode("overwrite").parquet(self._folder("ledger", batch))
+        grouped.write.mode("overwrite").parquet(self._folder("changes", batch))
 
-        now = self.spark.read.schema(LEDGER).parquet(self._folder("ledger", batch))
-        touched = now.select("doc_id", "tokenizer").distinct().withColumnsRenamed(
-            {"doc_id": "t_id", "tokenizer": "t_tokenizer"}
+        each = F.array(
+            *[F.struct(F.lit(n).alias("tokenizer"), F.col(f"p.n{i}").alias("tokens")) for i, n in enumerate(names)]
         )
-        same = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("tokenizer") == F.col("t_tokenizer"))
-        taken_back = before.join(touched, same, "left_semi")
-        signed = now.where("tokens is not null").withColumn("sign", F.lit(1)).unionByName(
-            taken_back.withColumn("sign", F.lit(-1))
+        counted = self.spark.read.schema(grouped.schema).parquet(self._folder("changes", batch))
+        counted = counted.select("doc_id", "text_key", "more", "p.deleted", "p.source", "p.lang", F.inline(each))
+        before = self.ledger(counted).withColumnsRenamed({c: f"old_{c}" for c in STATE})
+        earlier, same = _same(counted, before)
+        old = F.coalesce("old_copies", F.lit(0))
+        copies = (
+            F.when(F.col("doc_id").isNull(), F.greatest(F.lit(0), old + F.col("more")))
+            .when(F.col("deleted"), 0)
+            .otherwise(1)
         )
-        delta = signed.groupBy(*GROUP).agg(
-            F.sum("sign").cast("long").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens")
+        state = counted.join(earlier, same, "left").withColumn("copies", copies.cast("long"))
+        state = state.withColumn("batch", F.lit(batch).cast("long"))
+        names_of = [c.split()[0] for c in LEDGER.split(",")]
+        state.select(*names_of).write.mode("overwrite").parquet(self._folder("ledger", batch))
+
+        now = self.spark.read.schema(LEDGER).parquet(self._folder("ledger", batch))
+        sides = [
+            now.where(f"{side}copies > 0").select(
+                F.col(f"{side}source").alias("source"), F.col(f"{side}lang").alias("lang"), "tokenizer",
+                (F.lit(sign) * F.col(f"{side}copies")).alias("docs"),
+                (F.lit(sign) * F.col(f"{side}copies") * F.col(f"{side}tokens")).alias("tokens"),
+            )
+            for side, sign in (("", 1), ("old_", -1))
+        ]
+        delta = sides[0].unionByName(sides[1]).groupBy(*GROUP).agg(
+            F.sum("docs").cast("long").alias("docs"), F.sum("tokens").cast("long").alias("tokens")
         )
         delta.write.mode("overwrite").parquet(self._folder("delta", batch))
         return True
+
+
+def _same(left: DataFrame, right: DataFrame) -> tuple[DataFrame, Column]:
+    """`right` with its keys renamed, and the condition that joins it to `left`, nulls included."""
+    named = right.withColumnsRenamed({c: f"r_{c}" for c in KEY})
+    return named, reduce(and_, [F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in KEY])

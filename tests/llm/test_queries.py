@@ -8,7 +8,7 @@ from llm_data import SMALL, TABLES
 from test_near_text import plain_groups
 
 import corpus_pipeline
-from deskweave.llm import checks, decontaminate, pii_crf, queries
+from deskweave.llm import checks, decontaminate, pii_crf, queries, token_counts
 
 
 def plain(value):
@@ -42,16 +42,31 @@ def test_entry_registers_all():
 
 
 def test_op3_is_a_recount_of_the_final_documents(spark):
-    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
-    want = {}
-    for i, d in docs.items():
-        if len((d["text"] or "").encode().split()) < 5:
+    import base64
+    import re
+
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(token_counts.BPE_PATH, "rb"))}
+    encode = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    want, seen = {}, set()
+    for d in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        source, text, label = d["source"], d["text"] or "", labels.get(d["doc_id"])
+        if label and label["quality"] == 0:
+            seen.add("deleted")
             continue
-        key = (d["source"], d["lang"])
-        n, t = want.get(key, (0, 0))
-        want[key] = (n + 1, t + len((d["text"] or "").encode().split()))
-    rows = queries.op3_token_counts(spark, SMALL).where("tokenizer = 'words'").collect()
-    assert {(r["source"], r["lang"]): (r["docs"], r["tokens"]) for r in rows} == want
+        if label and label["toxic"] == 1:
+            seen.add("moved")
+            source = None if source is None else source + " toxic"
+            text = re.sub("[^ \t-\r]*[0-9][^ \t-\r]*", "", text)
+        for name, size in (("words", len(text.encode().split())), (token_counts.BPE_NAME, len(encode(text)))):
+            n, t = want.get((source, d["lang"], name), (0, 0))
+            want[source, d["lang"], name] = (n + 1, t + size)
+    rows = queries.op3_token_counts(spark, SMALL).collect()
+    assert {(r["source"], r["lang"], r["tokenizer"]): (r["docs"], r["tokens"]) for r in rows} == want
+    assert seen == {"deleted", "moved"}
 
 
 def test_pipeline_stages(spark):
