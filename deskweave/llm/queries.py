@@ -104,7 +104,10 @@ def op9_mixing_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; then, twice, the batch that `labels` names: documents of quality 0
-    are deleted, toxic ones lose their words with digits and move to a source of their own."""
+    are deleted, toxic ones lose their words with digits and move to a source of their own.
+
+    The texts meet the labels in one exchange at every size; hashing the labels, one narrow row
+    per id, spares sorting whole texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     counters = {"words": token_counts.count_words, token_counts.BPE_NAME: token_counts.count_bpe()}
     rollup = token_counts.Rollup(spark, fresh_dir(spark, "token-counts"), counters)
@@ -112,7 +115,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
         (F.min("quality") == 0).alias("deleted"), (F.max("toxic") == 1).alias("toxic")
     )
-    changes = docs.join(named.where("deleted OR toxic"), "doc_id").select(
+    changes = docs.join(named.where("deleted OR toxic").hint("shuffle_hash"), "doc_id").select(
         "doc_id",
         F.concat("source", F.lit(" toxic")).alias("source"),
         "lang",
