@@ -22,10 +22,12 @@ import codecs
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 BLOCK = 65_536  # characters of a text worked on at once
 WINDOW = 1_024  # symbols a transducer collects beyond the lookahead before it emits
 SHORT, NEVER = 24, 2**62  # symbols merged without a queue; the rank of a pair that is not merged
-MEMO, MEMO_CHARS = 400_000, 64  # words whose tokens a task remembers, and their length
+MEMO, MEMO_CHARS = 200_000, 64  # words whose tokens a generation of the memo holds, and their length
 FAMILIES = (("L", r"\p{L}"), ("P", r"[^\s\p{L}\p{N}]"))  # runs that a piece may consist of
 
 
@@ -160,11 +162,15 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to token ids, block by block."""
+    """Texts to token ids, block by block.
+
+    Ids are 32-bit numbers in bytes, which are joined without a Python object for each.
+    """
 
     def __init__(self, vocabulary: Vocabulary, block: int = BLOCK):
         self.vocabulary, self.block = vocabulary, block
-        self.memo: dict[str, list[int]] = {}  # of pieces, and of runs of them between blanks
+        self.memo: dict[str, bytes] = {}  # of pieces, and of runs of them between blanks
+        self.older: dict[str, bytes] = {}  # the generation before, from which known words come back
         self.machine = Transducer(vocabulary)
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))))
         self.runs = {name: regex.compile(f"{family}*") for name, family in FAMILIES}
@@ -172,12 +178,17 @@ class Encoder:
 
     def encode(self, text: str | None) -> Iterator[list[int]]:
         """Ids of a text, in lists of one block each; null counts as empty."""
+        for packed in self.packed(text):
+            yield np.frombuffer(packed, np.int32).tolist()
+
+    def packed(self, text: str | None) -> Iterator[bytes]:
+        """The same ids in bytes."""
         text = text or ""
         at = 0
         if self.vocabulary.special:
             for found in self.special.finditer(text):
                 yield from self._plain(text, at, found.start())
-                yield [self.vocabulary.special[found[0]]]
+                yield _pack([self.vocabulary.special[found[0]]])
                 at = found.end()
         yield from self._plain(text, at, len(text))
 
@@ -191,72 +202,86 @@ class Encoder:
             yield part.replace("Σ", "σ").lower()  # characters one by one: no final sigma
             at = stop
 
-    def _plain(self, text: str, at: int, end: int) -> Iterator[list[int]]:
+    def _plain(self, text: str, at: int, end: int) -> Iterator[bytes]:
         rest, open_run = "", None  # text not yet split; (transducer, pattern) of a piece still open
         blocks = self._blocks(text, at, end)
         block = next(blocks, None)
         while block is not None:
             following = next(blocks, None)
-            found: list[int] = []
+            found: list[bytes] = []
             if open_run is not None:
                 transducer, run = open_run
                 stop = run.match(block).end()
-                found += transducer.push(block[:stop])
+                found.append(_pack(transducer.push(block[:stop])))
                 if stop == len(block) and following is not None:
-                    yield found
+                    yield b"".join(found)
                     block = following
                     continue
-                found += transducer.finish()
+                found.append(_pack(transducer.finish()))
                 open_run, block = None, block[stop:]
             rest += block
             # the last characters may belong to a longer piece
             safe = len(rest) - 3 if following is not None else len(rest)
             kept = len(rest)
             if following is None:
-                known = self.memo.get
-                for run in rest.replace("\n", " ").split(" "):  # no piece holds white space
-                    if run:
-                        found += known(run) or self._run(run)
+                runs = list(filter(None, rest.replace("\n", " ").split(" ")))  # no piece holds white space
+                ids = list(map(self.memo.get, runs))
+                if None in ids:
+                    ids = [self._run(run) if known is None else known for run, known in zip(runs, ids)]
+                found += ids
             else:
                 for piece in self.vocabulary.piece.finditer(rest):
                     if piece.end() > safe:
                         kept = piece.start()
                         break
-                    found += self._word(piece[0])
+                    found.append(self._word(piece[0]))
             rest = rest[kept:] if following is not None else ""
             if len(rest) > self.block // 2:
                 for name, kind in self.kinds:
                     if kind.match(rest) and self.runs[name].match(rest).end() == len(rest):
                         transducer = Transducer(self.vocabulary)
-                        found += transducer.push(rest)
+                        found.append(_pack(transducer.push(rest)))
                         open_run, rest = (transducer, self.runs[name]), ""
                         break
-            yield found
+            yield b"".join(found)
             block = following
         if open_run is not None:
-            yield open_run[0].finish()
+            yield _pack(open_run[0].finish())
 
-    def _run(self, run: str) -> list[int]:
+    def _known(self, text: str) -> bytes | None:
+        known = self.memo.get(text)
+        if known is None and (known := self.older.get(text)) is not None:
+            self._remembered(text, known)
+        return known
+
+    def _run(self, run: str) -> bytes:
         """Ids of a text between blanks."""
-        pieces = self.vocabulary.piece.findall(run)
-        if pieces == [run]:
-            return self._word(run)
-        return self._remembered(run, [i for piece in pieces for i in self._word(piece)])
+        known = self._known(run)
+        if known is None:
+            pieces = self.vocabulary.piece.findall(run)
+            if pieces == [run]:
+                return self._word(run)
+            known = self._remembered(run, b"".join([self._word(piece) for piece in pieces]))
+        return known
 
-    def _word(self, word: str) -> list[int]:
-        known = self.memo.get(word)
+    def _word(self, word: str) -> bytes:
+        known = self._known(word)
         if known is None:
-            known = self._remembered(word, self.machine.push(word) + self.machine.finish())
+            known = self._remembered(word, _pack(self.machine.push(word) + self.machine.finish()))
         return known
 
-    def _remembered(self, text: str, ids: list[int]) -> list[int]:
+    def _remembered(self, text: str, ids: bytes) -> bytes:
         if len(text) <= MEMO_CHARS:
             if len(self.memo) >= MEMO:
-                self.memo.clear()
+                self.older, self.memo = self.memo, {}
             self.memo[text] = ids
         return ids
 
 
+def _pack(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Decoder:
     """Token ids to text, id by id.
 
@@ -274,12 +299,24 @@ class Decoder:
             body = token[: vocabulary.length(token)] if not own else token
             data = token.encode() if own else bytes(vocabulary.bytes[s] for s in body)
             self.pieces[i] = data + b" " if ends or own else data
+        ids = range(max(vocabulary.tokens, default=-1) + 1)
+        self.table = pa.array([vocabulary.tokens.get(i) for i in ids], pa.string())
 
     def tokens(self, ids: Iterable[int]) -> str:
         """Ids the vocabulary lacks are passed over, as the library does."""
         known = self.vocabulary.tokens
         return " ".join([known[i] for i in ids if i in known])
 
+    def all_tokens(self, lists: pa.Array) -> pa.Array:
+        """`tokens` of a whole array of lists; a null list gives an empty text."""
+        flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        known = (flat >= 0) & (flat < len(self.table))
+        known[known] = self.table.is_valid().to_numpy(zero_copy_only=False)[flat[known]]
+        offsets = np.concatenate([[0], np.cumsum(known)])[np.concatenate([[0], ends])]
+        tokens = self.table.take(pa.array(flat[known]))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), tokens), " ")
+
     def text(self, ids: Iterable[int]) -> str:
         machine = codecs.getincrementaldecoder("utf-8")("replace")
         parts = [machine.decode(self.pieces.get(i, b"")) for i in ids]
@@ -336,11 +373,11 @@ def encode(docs: DataFrame, definition: str, text: str = "text") -> DataFrame:
             offsets, parts = [0], []
             for value in texts:
                 own = 0
-                for ids in encoder.encode(value.as_py()):
-                    parts.append(np.array(ids, np.int32))
-                    own += len(ids)
+                for ids in encoder.packed(value.as_py()):
+                    parts.append(ids)
+                    own += len(ids) // 4
                 offsets.append(offsets[-1] + own)
-            flat = np.concatenate(parts) if parts else np.empty(0, np.int32)
+            flat = np.frombuffer(b"".join(parts), np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
 
         return change
@@ -356,12 +393,11 @@ def decode(encoded: DataFrame, definition: str, ids: str = "ids", form: str = "t
 
     def make():
         decoder = _once(Decoder, definition)
-        turn = {"text": decoder.text, "tokens": decoder.tokens}[form]
 
         def change(lists: pa.Array) -> pa.Array:
-            return pa.array([turn(x or ()) for x in lists.to_pylist()], pa.string())
+            return pa.array([decoder.text(x or ()) for x in lists.to_pylist()], pa.string())
 
-        return change
+        return {"text": change, "tokens": decoder.all_tokens}[form]
 
     return _mapped(encoded, ids, "decoded", pa.string(), "string", make)
 

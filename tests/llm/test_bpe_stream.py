@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -104,6 +105,24 @@ def test_text_comes_back():
     assert decoder.text([]) == "" and decoder.tokens([10**9]) == ""
 
 
+def test_decodes_arrays_as_single_lists():
+    decoder = bpe_stream.Decoder(VOCABULARY)
+    lists = [library("two words"), None, [], [10**9, -1], [None, *library("ok"), 10**9], library("<|endoftext|> x")]
+    want = [decoder.tokens(x or []) for x in lists]
+    whole = pa.array(lists, pa.list_(pa.int32()))
+    assert decoder.all_tokens(whole).to_pylist() == want
+    assert decoder.all_tokens(whole.slice(1, 4)).to_pylist() == want[1:5]
+    assert decoder.all_tokens(whole.slice(0, 0)).to_pylist() == []
+
+
+def test_words_come_back_from_the_older_generation(monkeypatch):
+    monkeypatch.setattr(bpe_stream, "MEMO", 5)
+    encoder = bpe_stream.Encoder(VOCABULARY)
+    text = " ".join(f"word{i % 7}, the x{i}y (a)b-{i % 3}" for i in range(200))
+    assert ids(encoder, text) == library(text) and ids(encoder, text) == library(text)
+    assert len(encoder.memo) <= 5 and len(encoder.older) <= 5
+
+
 def test_query_against_the_library(spark):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     got = {r["doc_id"]: r for r in queries.op11_bpe_stream(spark, SMALL).collect()}
