@@ -74,9 +74,11 @@ def select_sorted(
     return rows
 
 
-def facets(df: DataFrame, fields: Sequence[str] = FACETS) -> DataFrame:
-    """(facet, value, documents) of all fields in one pass over the table."""
-    grouped = df.groupingSets([[f] for f in fields], *fields).agg(
+def facets(
+    df: DataFrame, fields: Sequence[str] = FACETS, by: Sequence[str] = ()
+) -> DataFrame:
+    """(facet, value, documents) of all fields in one pass over the table, per `by`."""
+    grouped = df.groupingSets([[*by, f] for f in fields], *by, *fields).agg(
         F.count(F.lit(1)).alias("documents"), F.grouping_id().alias("_set")
     )
     width = len(fields)
@@ -84,4 +86,4 @@ def facets(df: DataFrame, fields: Sequence[str] = FACETS) -> DataFrame:
     ids = {((1 << width) - 1) ^ (1 << (width - 1 - i)): f for i, f in enumerate(fields)}
     name = F.coalesce(*[F.when(F.col("_set") == i, F.lit(f)) for i, f in ids.items()])
     value = F.coalesce(*[F.when(F.col("_set") == i, F.col(f)) for i, f in ids.items()])
-    return grouped.select(name.alias("facet"), value.alias("value"), "documents")
+    return grouped.select(*by, name.alias("facet"), value.alias("value"), "documents")

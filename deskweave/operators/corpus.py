@@ -113,6 +113,10 @@ def _shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def _bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+
+
 class Corpus:
     """A keyed table at `path`.
 
@@ -232,6 +236,18 @@ class Corpus:
             raise FileNotFoundError(f"no corpus at {self.path}")
         return self._read(last[1])
 
+    def bucket_versions(self) -> dict[int, int]:
+        """The version in which each bucket was written last; buckets without rows are left out."""
+        last = self._last()
+        return {} if last is None else {int(b): v for b, v in (last[1]["folders"] or {}).items()}
+
+    def read_buckets(self, versions: dict[int, int]) -> DataFrame:
+        """Rows of buckets in the given versions, with the bucket's number as `_bucket`."""
+        _, pointer = self._last()
+        folders = [f"{self.path}/data/{v}/{_BUCKET}={b}" for b, v in sorted(versions.items())]
+        rows = self.spark.read.schema(self._schema_of(pointer)).parquet(*folders)
+        return rows.withColumn(_BUCKET, _bucket_of(pointer["buckets"]))
+
     def _read(self, pointer: T.Row, only: Sequence[int] | None = None) -> DataFrame:
         # reading with the pointer's schema fills fields that older files do not have
         schema = self._schema_of(pointer)
@@ -246,8 +262,7 @@ class Corpus:
 
     def _write(self, rows: DataFrame, schema: T.StructType, folder: str, buckets: int) -> list[int]:
         """Write rows by bucket of the key; returns the buckets that got some."""
-        bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
-        shaped = _shaped(rows, schema).withColumn(_BUCKET, bucket)
+        shaped = _shaped(rows, schema).withColumn(_BUCKET, _bucket_of(buckets))
         # files by bucket; large buckets are split and small ones put together
         shaped.hint("rebalance", _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(
             f"{self.path}/{folder}"

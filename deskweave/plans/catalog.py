@@ -14,6 +14,7 @@ from ..functions import cells, dates, personal_data, redaction, text
 from ..operators import browse, embedding, masking, profile, scope, search
 from ..operators.corpus import Corpus, key_collisions, latest_per_key, merge_versions
 from ..operators.documents import to_documents, with_content, with_vector
+from ..operators.kept import KeptSummary
 from ..operators.names import find_names
 from ..operators.schema import FIELD_FLAGS, MASKED_OK, UPDATED, corpus_schema, describe_schema
 from ..operators.scope import Scope, in_scope
@@ -52,6 +53,8 @@ CONFIDENCE = {"EMAIL_ADDRESS": 0.9, "PHONE_NUMBER": 0.5, "IBAN_CODE": 0.6, "IT_F
 FIRST_ROWS = 25
 TOP_DOCUMENTS = 10
 
+KEPT_FIELDS = ("id", "number", "short_description", "description", "content", "priority", "urgency")
+
 CLOSED = Scope()
 _REGISTRY: dict[str, Query] = {}
 
@@ -679,6 +682,29 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(corpus.read())
 
 
+def _kept(spark: SparkSession, sf_dir: str, fields=FIELD_FLAGS) -> KeptSummary:
+    """Summary of a corpus, computed after a first delivery and kept up to date by a second."""
+    rows = incidents(spark, sf_dir)
+    corpus = Corpus(spark, fresh_dir(spark, "kept"), corpus_schema())
+    corpus.upsert(to_documents(rows, BASE_URL))
+    summary = KeptSummary(corpus, fields)
+    summary.refresh()
+    corpus.upsert(to_documents(_redelivered(rows), BASE_URL))
+    summary.refresh()
+    return summary
+
+
+@register
+def kept_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept(spark, sf_dir, ["id"]).facets()
+
+
+@register
+def kept_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact columns; what sketches say is held against exact counts in tests."""
+    return _kept(spark, sf_dir, KEPT_FIELDS).profile().drop("approx_values", "median_length")
+
+
 @register
 def merge_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplied columns overwrite, with nulls too; others keep the stored value."""

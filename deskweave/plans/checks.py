@@ -211,8 +211,15 @@ second AS (
 )"""
 
 
-def _merged(condition: str) -> str:
-    """First delivery unless the second one is dated and not older."""
+def _merged(condition: str, columns: str = SUMMARY, then: str = "") -> str:
+    """First delivery unless the second one is dated and not older.
+
+    With `then`, a query over the merged rows as `document`.
+    """
+    merged = (
+        f"{columns} FROM a_document WHERE doc_id % 4 <> 0 UNION ALL "
+        f"{columns} FROM b_document WHERE doc_id % 4 IN (0, 3)"
+    )
     return _with(
         INCIDENT,
         SECOND,
@@ -220,10 +227,8 @@ def _merged(condition: str) -> str:
         f"second_kept AS (SELECT * FROM second WHERE {condition})",
         document_ctes("first_kept", "a_"),
         document_ctes("second_kept", "b_"),
-    ) + (
-        f"{SUMMARY} FROM a_document WHERE doc_id % 4 <> 0 UNION ALL "
-        f"{SUMMARY} FROM b_document WHERE doc_id % 4 IN (0, 3)"
-    )
+        *([f"document AS ({merged})"] if then else []),
+    ) + (then or merged)
 
 
 def _detected(x: str) -> str:
@@ -332,14 +337,14 @@ PROFILED_CELLS = (
 ).split()
 
 
-def _profile(field: str, shown: str | None = None) -> str:
+def _profile(field: str, shown: str | None = None, source: str = "incident") -> str:
     value = f"translate(coalesce({shown or field}, ''), chr(13) || chr(10), '  ')"
     short = f"CASE WHEN length(t) > 80 THEN substr(t, 1, 80) || ' […]' ELSE t END"
     return f"""SELECT '{field}' AS field, count(*) AS records,
   count(*) FILTER (WHERE p) AS present, count(*) FILTER (WHERE t <> '') AS filled,
   max(length(t)) AS max_length, round(avg(length(t)), 6) AS avg_length,
   min({short}) FILTER (WHERE t <> '') AS example
-FROM (SELECT {"TRUE" if shown else f"{field} IS NOT NULL"} AS p, {value} AS t FROM incident)"""
+FROM (SELECT {"TRUE" if shown else f"{field} IS NOT NULL"} AS p, {value} AS t FROM {source})"""
 
 
 # field -> (searchable, filterable, retrievable)
@@ -571,6 +576,19 @@ SELECT id, length(masked) AS chars, md5(masked) AS content_md5, TRUE AS some_fai
 FROM incident WHERE doc_id % 50 = 7""",
         "upsert_snapshot": _merged("TRUE"),
         "stream_upsert_final_state": _merged("state IN ('6', '7')"),
+        "kept_facets": _merged(
+            "TRUE",
+            "SELECT *",
+            " UNION ALL ".join(
+                f"SELECT '{f}' AS facet, {f} AS value, count(*) AS documents FROM document GROUP BY {f}"
+                for f in ("assignment_group_name", "priority", "impact", "urgency")
+            ),
+        ),
+        "kept_profile": _merged(
+            "TRUE",
+            f"SELECT {', '.join(catalog.KEPT_FIELDS)}",
+            " UNION ALL ".join(_profile(f, source="document") for f in catalog.KEPT_FIELDS),
+        ),
         "merge_columns": _with(INCIDENT)
         + f"""SELECT {key("number")} AS id, number, short_description,
   CASE WHEN {IN_GROUPS} THEN 'changed' ELSE priority END AS priority,
