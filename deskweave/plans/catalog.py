@@ -858,6 +858,26 @@ def stream_upsert_final_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(corpus.read())
 
 
+@register
+def stream_changed_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries, the first one twice, through a state that passes on changes only."""
+    home = fresh_dir(spark, "changes")
+    rows = incidents(spark, sf_dir)
+    landed = f"{home}/landed"
+    corpus = Corpus(spark, f"{home}/corpus", corpus_schema())
+    for delivery in (rows, rows, _redelivered(rows)):
+        delivery.select(*RECORD_SCHEMA.names).write.mode("append").parquet(landed)
+        ingest_stream(
+            stream_landed(spark, landed, RECORD_SCHEMA),
+            corpus,
+            f"{home}/checkpoint",
+            Options(base_url=BASE_URL),
+            name="changes",
+            only_changed=True,
+        ).awaitTermination()
+    return _summary(corpus.read())
+
+
 @register
 def stream_restart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two streams with checkpoints of their own, one after the other into one corpus."""

@@ -576,6 +576,7 @@ SELECT id, length(masked) AS chars, md5(masked) AS content_md5, TRUE AS some_fai
 FROM incident WHERE doc_id % 50 = 7""",
         "upsert_snapshot": _merged("TRUE"),
         "stream_upsert_final_state": _merged("state IN ('6', '7')"),
+        "stream_changed_versions": _merged("state IN ('6', '7')"),
         "kept_facets": _merged(
             "TRUE",
             "SELECT *",
