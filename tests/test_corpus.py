@@ -244,3 +244,47 @@ def test_flags_decide_what_can_be_filtered_and_sorted(documents):
         browse.select_sorted(documents, {"description": ["t1"]})
     with pytest.raises(ValueError):
         browse.select_sorted(documents, sort=[("urgency", False)])
+
+
+# --- large corpora: versions are brought together by readers ----------------
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_added_versions_read_as_merged(spark, tmp_path, buckets):
+    """The same batches, merged at once and added, give the same rows; small batches do not write
+    all rows again."""
+    batches = [
+        [(k, "1", k, D2) for k in "abcdef"] + [("u", "1", "u", None)],
+        [("a", "2", None, D3), ("b", "late", "x", D1), ("c", "same", "c", D2), ("d", "2", "d", None)],
+        [("u", "2", None, None), ("z", "1", "z", D1), ("a", "late", "a", D2)],
+        *[[("z", str(n), "z", f"2024-02-{n:02d} 00:00:00")] for n in range(1, 13)],
+    ]
+    both = [Corpus(spark, str(tmp_path / str(b)), SCHEMA, buckets, merge_below=b) for b in (0, 1 << 30)]
+    for batch in batches:
+        counts = {table.upsert(rows(spark, *batch)) for table in both}
+        assert len(counts) == 1
+        assert content_any_sorted(both[0].read()) == content_any_sorted(both[1].read())
+    # rows of other folders are left alone, and folders are put together now and then
+    folders = {f.rsplit("/data/")[1].split("/")[0] for f in both[0].read().inputFiles()}
+    assert 2 < len(folders) < len(batches)
+    by_row = both[0].read("id", F.length("title").alias("n"))
+    assert by_row.columns == ["id", "n"] and by_row.count() == 8
+    # supplied columns that do not cover what is known are merged at once
+    for table in both:
+        assert table.upsert(rows(spark, ("b", "9", D3), columns=("id", "title", UPDATED))) == 1
+    assert content_any_sorted(both[0].read()) == content_any_sorted(both[1].read())
+    assert ("b", "9", "b") in content_any_sorted(both[0].read())
+
+
+def content_any_sorted(df):
+    return sorted(content_any(df), key=lambda t: t[0])
+
+
+def test_an_upsert_deals_rows_once(spark, tmp_path):
+    """Rows that are one per key are written where they are; to a large corpus nothing else is."""
+    table = Corpus(spark, str(tmp_path / "c"), SCHEMA, merge_below=0)
+    table.upsert(rows(spark, *[(k, "1", k, D1) for k in "abcdef"]))
+    before = set(table.read().inputFiles())
+    table.upsert(rows(spark, ("a", "2", "", D2)), unique=True)
+    after = set(table.read().inputFiles())
+    assert before < after and len(after - before) == 1
