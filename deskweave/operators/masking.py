@@ -121,6 +121,8 @@ def detect_with(
                 for (row, _, _), value, ok in zip(part, values, oks):
                     found[row].extend(value)
                     good[row] = good[row] and ok
+            # of a text that failed in one window nothing is masked, so nothing counts
+            found = [values if ok else [] for values, ok in zip(found, good)]
             yield pd.DataFrame({"values": found, "ok": good})
 
     lang = F.lit(LANGUAGES[0]) if language is None else route_language(language)

@@ -165,3 +165,16 @@ def test_thresholds(one):
     )
     kept = one(confident_spans(offered), x="")
     assert [(s["type"], s["score"]) for s in kept] == [("PERSON", 0.4), ("OTHER", 0.5)]
+
+
+def test_a_text_that_fails_in_one_window_counts_nothing(spark):
+    """A long text takes several calls; if one of them fails, what others found is not masked."""
+    from deskweave.operators import masking
+    from deskweave.plans.catalog import SECRET_WORD, make_failing_detector
+
+    text = "a.b@c.de " + "word " * 6000 + SECRET_WORD + "end"
+    rows = spark.createDataFrame([(text,), ("x a.b@c.de",)], "text string")
+    got = masking.mask_by_detector(rows, make_failing_detector, ["text"]).collect()
+    said = {r["_pii_ok"]: (r["text"], r[masking.VALUES], r[masking.OCCURRENCES]) for r in got}
+    assert said[False] == (text, 0, 0)
+    assert said[True] == ("x [PII]", 1, 1)
