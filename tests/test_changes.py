@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from deskweave.operators.corpus import Corpus
@@ -9,7 +10,7 @@ from deskweave.operators.schema import MASKED_OK, corpus_schema
 from deskweave.plans.ingest import Options
 from deskweave.sources.marks import MarkStore
 from deskweave.sources.pages import RECORD_SCHEMA
-from deskweave.streaming.changes import version_counts
+from deskweave.streaming.changes import _Newest, version_counts
 from deskweave.streaming.ingest_stream import ingest_stream, stream_landed
 from test_ingest import BASE, T1, T2, T3, ticket, tickets
 
@@ -83,3 +84,44 @@ def test_a_run_that_dies_after_the_merge_counts_nothing_twice(desk, spark, tmp_p
     desk.run(True)
     assert sorted(map(str, desk.corpora[True].read().collect())) == before
     assert desk.marks.read() == T2 and desk.counts() == {"A": (1, 0, 0), "B": (0, 1, 0)}
+
+
+def test_rows_of_a_key_are_handled_one_by_one_without_frames():
+    class Kept:
+        value, asked = None, 0
+
+        def get(self):
+            self.asked += 1
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    newest = _Newest(["sys_id", "number", "state"])
+    newest.state = Kept()
+
+    def arrive(*rows):
+        return list(newest.handleInputRows(("A",), (Row(*r) for r in rows), None))
+
+    undated = -(2**63)
+    first = [("1", "A", "6", "A", "d1", 5), (None, "A", "7", "A", "d2", 7), ("0", "A", "8", "A", "d3", 7)]
+    [out] = arrive(*first, ("9", "A", "9", "A", "d4", undated))
+    assert out.asDict() == {"sys_id": "0", "number": "A", "state": "8"}
+    assert newest.state.value == (7, "d3", 3, 1, 0)
+    assert arrive(first[2]) == [] and newest.state.value == (7, "d3", 3, 1, 1)
+    assert arrive(first[0]) == [] and newest.state.value == (7, "d3", 4, 1, 1)
+    assert newest.state.asked == 3  # one call of the state store for what is known
+
+
+def test_a_delivery_without_news_is_not_counted_without_a_mark(desk, spark, monkeypatch):
+    from deskweave.plans import ingest
+
+    desk.arrive(ticket("A", T1))
+    rows = tickets(spark, ticket("A", T1)).select(*RECORD_SCHEMA.names)
+    rows.write.mode("append").parquet(desk.landed)
+    passes = []
+    counters = ingest._counters
+    monkeypatch.setattr(ingest, "_counters", lambda options: passes.append(1) or counters(options))
+    desk.run(True)
+    assert len(passes) == 1  # those observed while preparing; a second pass asks the state again
+    assert desk.counts() == {"A": (0, 0, 1)} and desk.corpora[True].read().count() == 1
