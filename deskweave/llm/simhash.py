@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -226,6 +226,22 @@ def hex_fingerprint(column: str = "fp"):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
+def linked_texts(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of text hashes that connect what `near_duplicates` brings together, out of
+    `rows` (key, text): texts of one fingerprint one after the other, and a text of each of two
+    linked fingerprints.
+    """
+    fps = stored(with_fingerprint(rows.select("key", "text")).distinct(), "fingerprints")
+    before = F.lag("key").over(Window.partitionBy("fp").orderBy("key"))
+    alike = fps.select(before.alias("a"), F.col("key").alias("b")).where("a IS NOT NULL")
+    firsts = fps.groupBy("fp").agg(F.min("key").alias("first"))
+    pairs = links(fps)
+    for end in ("a", "b"):
+        named = firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_key"))
+        pairs = pairs.join(named, end)
+    return alike.unionByName(pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
+
+
 def deduplicate(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -235,12 +251,13 @@ def deduplicate(
 ) -> DataFrame:
     """One document of each group of near-duplicates, in the columns of `docs`.
 
-    Documents are linked if the sets of their word shingles have at least this Jaccard
-    similarity (see `near_text`; the fingerprints of operator 1 cannot tell that reliably).
+    What operator 1 links is verified: documents are linked if the sets of their word shingles
+    have at least this Jaccard similarity. Such documents whose fingerprints differ in more bits
+    than operator 1 allows are found beside it (see `near_text`).
     The document with the smallest id stays (null last, then by text hash); of repeated rows
     one stays.
     """
-    found = near_groups(docs, doc_id, text, shingle, similarity)
+    found = near_groups(docs, doc_id, text, shingle, similarity, linked_texts)
     by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     kept = found.groupBy("group").agg(F.min(by_id).alias("k")).select("k.*")
     rows = docs.select(

@@ -1,5 +1,7 @@
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from llm_data import make_docs, some_docs  # noqa: F401
 
 from deskweave.llm import near_text, simhash
@@ -125,3 +127,28 @@ def test_empty_null_and_wordless(spark, make_docs):
     rows = [(None, None), (None, ""), (3, " \t"), (None, "a b"), (5, "A  b"), (5, "A  b")]
     kept = simhash.deduplicate(make_docs(rows)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, " \t"), (5, "A  b")]
+
+
+def test_operator_1_links_are_verified_and_kept(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(7)
+    words = [f"w{n}" for n in rng.integers(0, 5000, 3000)]
+    near = [*words[:1500], "other", *words[1501:]]
+    short = [*words[:9], *words[:9]]
+    texts = [" ".join(t) for t in (words, near, short, [*short, *short], words[:1000])]
+    bits = [simhash.fingerprint(t) for t in texts]
+    assert (bits[0] ^ bits[1]).bit_count() <= simhash.RADIUS
+    docs = make_docs([(n, t) for n, t in enumerate(texts)])
+    pairs = simhash.linked_texts(docs.select(F.col("doc_id").alias("key"), "text"))
+    assert (0, 1) in {tuple(sorted(r)) for r in pairs.collect()}
+
+    nothing = spark.createDataFrame([], "a long, b long, alike double")
+    monkeypatch.setattr(near_text, "_offers", lambda *_: near_text.stored(nothing, "offers"))
+    kept = {r["doc_id"] for r in simhash.deduplicate(docs).collect()}
+    assert 0 in kept and 1 not in kept and {2, 4} <= kept
+
+
+def test_a_link_of_operator_1_below_the_similarity_does_not_count(spark, make_docs, monkeypatch):
+    texts = ["a b c d e f g h i j", "k l m n o p q r s t"]
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, shingle=4: 1)
+    rows = make_docs(list(enumerate(texts)))
+    assert simhash.deduplicate(rows).count() == 2
