@@ -39,6 +39,7 @@ STEP = 512  # decisions between two refinements
 RATE = 0.003
 START = (0.4, 0.6)  # weights of the contexts at the start of a text
 GROUP = 300_000  # bytes worked on at once
+CHUNK = 16_384  # bytes of them whose decisions are worked out at once
 PAD = max(ORDERS) + 1
 END = b"\0"
 
@@ -112,26 +113,36 @@ def decisions(trees: Trees, blobs: list[bytes]) -> tuple[list[np.ndarray], np.nd
     pair = (wide[:-1] * 256 + wide[1:])[at - 1]
     size = trees.size[pair]
     upto = np.cumsum(size)
-    owner = np.repeat(np.arange(len(pair)), size)  # the byte of each decision
     first = trees.code[pair] - (upto - size)
-    step = trees.steps.take(np.arange(upto[-1]) + first.take(owner, mode="clip"), mode="clip")
-    nodes = step >> np.uint32(1)
-    slots = []
+    contexts = []
     recent = np.zeros(len(data), np.uint64)
-    salt = nodes * np.uint32(0x9E3779B1)
     for back in range(1, max(ORDERS) + 1):
         recent[back:] |= data[:-back].astype(np.uint64) << np.uint64(8 * (back - 1))
         if back in ORDERS:
             mixed = (recent * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)
-            context = mixed.astype(np.uint32)[at].take(owner, mode="clip")
-            context ^= salt
-            context *= np.uint32(0x85EBCA6B)
-            context ^= context >> np.uint32(15)
-            context *= np.uint32(0xC2B2AE35)
-            context >>= np.uint32(32 - TABLE_BITS)
-            slots.append(context.astype(np.int64))
+            contexts.append(mixed.astype(np.uint32)[at])
+    slots = [np.empty(upto[-1], np.int64) for _ in ORDERS]
+    bits = np.empty(upto[-1], np.uint8)
+    for start in range(0, len(pair), CHUNK):  # so few that they stay in the processor's cache
+        part, last = slice(start, start + CHUNK), min(start + CHUNK, len(pair)) - 1
+        here = slice(upto[start] - size[start], upto[last])
+        owner = np.repeat(np.arange(last + 1 - start), size[part])  # the byte of each decision
+        step = first[part].take(owner, mode="clip")
+        step += np.arange(here.start, here.stop)
+        step = trees.steps.take(step, mode="clip")
+        bits[here] = step & np.uint32(1)
+        step >>= np.uint32(1)  # the node
+        step *= np.uint32(0x9E3779B1)
+        for context, slot in zip(contexts, slots, strict=True):
+            mixed = context[part].take(owner, mode="clip")
+            mixed ^= step
+            mixed *= np.uint32(0x85EBCA6B)
+            mixed ^= mixed >> np.uint32(15)
+            mixed *= np.uint32(0xC2B2AE35)
+            mixed >>= np.uint32(32 - TABLE_BITS)
+            slot[here] = mixed
     ends = np.concatenate(([0], upto[np.cumsum(sizes) - 1]))
-    return slots, (step & np.uint32(1)).astype(np.uint8), np.diff(ends)
+    return slots, bits, np.diff(ends)
 
 
 def count_decisions(trees: Trees, blobs: list[bytes], tables: list[np.ndarray]) -> None:
@@ -177,8 +188,12 @@ def text_bits(trees: Trees, tables: list[np.ndarray], blobs: list[bytes]) -> np.
     # odds of the outcome that came true, so that padding (0) costs one bit and moves nothing
     sign = bits.astype(np.float32) * np.float32(2 / SCALE) - np.float32(1 / SCALE)
     odds_of = [table.take(slot, mode="clip") for slot, table in zip(slots, tables, strict=True)]
-    gate = _in_blocks((odds_of[-1] != 0).astype(np.float32), counts, origin, n)
-    x = [_in_blocks(value * sign, counts, origin, n) for value in odds_of]
+    # the longest context has odds only where it was seen, so the gate opens its weight always,
+    # and of the others their odds where it was seen are kept apart
+    gate, signed = odds_of[-1] != 0, [value * sign for value in odds_of]
+    longest = _in_blocks(signed.pop(), counts, origin, n)
+    x = [_in_blocks(value, counts, origin, n) for value in signed]
+    gated = [_in_blocks(value * gate, counts, origin, n) for value in signed]
 
     order = np.argsort(-blocks, kind="stable")
     steps = int(blocks[order[0]])
@@ -189,19 +204,21 @@ def text_bits(trees: Trees, tables: list[np.ndarray], blobs: list[bytes]) -> np.
     for s in range(steps):
         m = active[s]
         rows = origin[order[:m]] + s
-        seen, inputs = gate[rows], [values[rows] for values in x]
+        long_odds, inputs = longest[rows], [(every[rows], seen[rows]) for every, seen in zip(x, gated, strict=True)]
         more = opened[:m] - closed[:m]
-        margin = np.zeros_like(seen)
-        for k, value in enumerate(inputs):
-            margin += value * (closed[:m, k, None] + seen * more[:, k, None])
-        against = np.exp(-np.maximum(margin, -80, out=margin))
-        error = against / (1 + against)
-        spent[order[:m]] += np.log(1 + against).sum(axis=1, dtype=np.float64)
-        by_gate = error * seen
-        for k, value in enumerate(inputs):
-            every, open_ = np.vecdot(error, value), np.vecdot(by_gate, value)
+        margin = long_odds * opened[:m, -1:]
+        for k, (every, seen) in enumerate(inputs):
+            margin += every * closed[:m, k, None]
+            margin += seen * more[:, k, None]
+        against = np.exp(np.negative(np.maximum(margin, -80, out=margin), out=margin), out=margin)
+        whole = 1 + against
+        error = np.divide(against, whole, out=against)
+        spent[order[:m]] += np.log(whole, out=whole).sum(axis=1, dtype=np.float64)
+        for k, (every, seen) in enumerate(inputs):
+            open_ = np.vecdot(error, seen)
             opened[:m, k] += RATE * open_
-            closed[:m, k] += RATE * (every - open_)
+            closed[:m, k] += RATE * (np.vecdot(error, every) - open_)
+        opened[:m, -1] += RATE * np.vecdot(error, long_odds)
     return spent / math.log(2) - (blocks * STEP - counts)
 
 
@@ -344,25 +361,24 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", head: int
         for batch in batches:
             blobs = [_blob(t) for t in batch.column(3).to_pylist()]
             bits = np.concatenate([text_bits(trees, tables, g) for g in _groups(blobs)] or [[]])
-            tokens, known, base, rest, sizes = [], [], [], [], []
+            tokens, known, base, rest, rest_tf, sizes = [], [], [], [], [], []
             for blob in blobs:
                 words = Counter(blob.split())
                 words[b""] = 1
-                own, seen, left = 0.0, 0, 0
-                for token, tf in words.items():
-                    log = logs.get(token)
-                    if log is None:
-                        rest.append((token, tf))
-                        left += 1
-                    else:
-                        own += tf * log
-                        seen += tf
-                tokens.append(words.total())
-                known.append(seen)
-                base.append(own)
-                sizes.append(left)
+                distinct, tfs = list(words), list(words.values())
+                found = list(map(logs.get, distinct))
+                left = [i for i, log in enumerate(found) if log is None] if None in found else []
+                for i in left:
+                    found[i] = 0.0
+                rest += [distinct[i] for i in left]
+                rest_tf += [tfs[i] for i in left]
+                total = words.total()
+                tokens.append(total)
+                known.append(total - sum(tfs[i] for i in left))
+                base.append(math.sumprod(tfs, found))
+                sizes.append(len(left))
             inner = pa.StructArray.from_arrays(
-                [pa.array([t for t, _ in rest], pa.binary()), pa.array([f for _, f in rest], pa.int64())],
+                [pa.array(rest, pa.binary()), pa.array(rest_tf, pa.int64())],
                 fields=list(pair),
             )
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))

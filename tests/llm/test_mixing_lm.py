@@ -100,3 +100,39 @@ def test_no_training_rows_and_no_rows(spark, make_docs):
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (3, 0, 0, 0.0)
     assert row["score"] < 0
     assert lm.score(make_docs([])).count() == 0
+
+
+def test_the_gate_chooses_the_weights_of_every_decision():
+    """Bits against a plain decision-by-decision mixing of two weight sets."""
+    rng = np.random.default_rng(3)
+    blobs = [bytes(rng.integers(97, 101, n, np.uint8)) for n in (0, 3, 700, 40_000)]
+    trees = lm.Trees(sum(lm.pair_counts([b]) for b in blobs))
+    counts = lm.empty_tables()
+    lm.count_decisions(trees, blobs[2:3], counts)
+    tables = [lm.odds(c) for c in counts]
+    assert lm.CHUNK < len(blobs[3])
+    for blob, bits in zip(blobs, lm.text_bits(trees, tables, blobs), strict=True):
+        slots, outcome, _ = lm.decisions(trees, [blob])
+        sign = (2.0 * outcome - 1) / lm.SCALE
+        x = np.stack([t[s] * sign for t, s in zip(tables, slots, strict=True)])
+        seen = tables[-1][slots[-1]] != 0
+        weights = {True: np.array(lm.START), False: np.array(lm.START)}
+        spent = 0.0
+        for at in range(0, len(outcome), lm.STEP):
+            part, gate = x[:, at : at + lm.STEP], seen[at : at + lm.STEP]
+            margin = np.where(gate, weights[True] @ part, weights[False] @ part)
+            error = 1 / (1 + np.exp(margin))
+            spent += np.log2(1 + np.exp(-margin)).sum()
+            for side in weights:
+                weights[side] = weights[side] + lm.RATE * (part * error)[:, gate == side].sum(axis=1)
+        assert abs(spent - bits) <= 1e-4 * max(1, spent)
+
+
+def test_decisions_are_worked_out_in_parts(monkeypatch):
+    blobs = [b"some words and more words " * 40, b"", b"x"]
+    trees = lm.Trees(sum(lm.pair_counts([b]) for b in blobs))
+    whole = lm.decisions(trees, blobs)
+    monkeypatch.setattr(lm, "CHUNK", 7)
+    parts = lm.decisions(trees, blobs)
+    assert all((a == b).all() for a, b in zip(whole[0], parts[0], strict=True))
+    assert (whole[1] == parts[1]).all() and (whole[2] == parts[2]).all()
