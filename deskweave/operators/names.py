@@ -1,10 +1,11 @@
 """Names of a dictionary in texts: leftmost, longest, with places.
 
 A name is a run of words and what stands between them, such as `Anna de la Cruz`, `O'Brien` or
-`Jean-Luc`; white space between words may differ, everything else has to be equal. Every run
-of as many words as some listed name has is looked up in one join on the whole run, so a first
-word that very many names share makes no more rows than any other. Long texts are first cut
-into pieces of some words, so that no row grows with its text.
+`Jean-Luc`; white space between words may differ, everything else has to be equal. Words are first joined
+with the distinct first words of all names, each with the numbers of words that its names have;
+only runs of such numbers that start there are put together and looked up, in a join on the whole
+run. So a first word that very many names share makes no more rows than any other. Long texts are
+first cut into pieces of some words, so that no row grows with its text.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from .once import with_columns_once
 
 WORD = r"[\p{L}\p{N}]"
 TOKEN = rf"{WORD}+[^\p{{L}}\p{{N}}]*"  # a word and what follows it
+HEAD = f"{WORD}+"  # the first word
 CORE = rf"(?s){WORD}(?:.*{WORD})?"  # from the first word to the end of the last
 PIECES = (4096, 64)  # words of a piece, cut in two steps
 
@@ -45,6 +47,22 @@ def _cut(rows: DataFrame, size: int, more: int) -> DataFrame:
     return cut.select(*kept, (F.col("base") + before).alias("base"), "piece.own", "piece.words")
 
 
+def _runs(pieces: DataFrame, heads: DataFrame, longest: int) -> DataFrame:
+    """Runs of words that may be names: their first word is one of `heads` (head, sizes) and
+    their number of words one of its sizes. key, row, start, chars, value."""
+    own = F.transform(F.slice("words", F.lit(1), F.col("own")), lambda w: F.regexp_extract(w, HEAD, 0))
+    placed = with_columns_once(pieces, {"heads": own})
+    placed = placed.select("key", "row", "base", "words", F.posexplode("heads").alias("i", "head"))
+    start = F.col("base") + F.length(F.array_join(F.slice("words", F.lit(1), F.col("i")), ""))
+    ahead = F.slice("words", F.col("i") + 1, F.lit(longest))
+    placed = placed.select("key", "row", "head", start.alias("start"), ahead.alias("words"))
+    placed = placed.join(heads, "head").select("key", "row", "start", "words", F.explode("sizes").alias("n"))
+    placed = placed.where(F.col("n") <= F.size("words"))
+    run = F.regexp_extract(F.array_join(F.slice("words", F.lit(1), F.col("n")), ""), CORE, 0)
+    runs = with_columns_once(placed, {"run": run})
+    return runs.select("key", "row", "start", F.length("run").alias("chars"), _one_blank(F.col("run")).alias("value"))
+
+
 def find_names(
     rows: DataFrame,
     names: DataFrame,
@@ -63,8 +81,10 @@ def find_names(
     value = _one_blank(F.regexp_extract("name", CORE, 0)).alias("value")
     known = names.where(F.col("score") >= threshold).groupBy(value).agg(F.max("score").alias("score"))
     known = known.where("value <> ''")
-    count = F.regexp_count("value", F.lit(f"{WORD}+"))
-    sizes = sorted(r[0] for r in known.select(count).distinct().collect()) or [1]  # few numbers
+    known = known.withColumn("n", F.regexp_count("value", F.lit(HEAD)))
+    sizes = [r[0] for r in known.select("n").distinct().collect()]  # few numbers
+    heads = known.groupBy(F.regexp_extract("value", HEAD, 0).alias("head"))
+    heads = heads.agg(F.collect_set("n").alias("sizes"))
 
     whole = or_empty(F.col(text))
     words = rows.select(
@@ -75,19 +95,13 @@ def find_names(
     lead = F.col("chars") - F.length(F.array_join("words", ""))
     pieces = words.select("key", "row", lead.alias("base"), F.size("words").alias("own"), "words")
     for size in PIECES:
-        pieces = _cut(pieces, size, sizes[-1] - 1)
+        pieces = _cut(pieces, size, max(sizes, default=1) - 1)
 
-    placed = pieces.select("*", F.explode(F.sequence(F.lit(1), "own")).alias("i"))
-    placed = placed.select("*", F.explode(F.array(*map(F.lit, sizes))).alias("n"))
-    placed = placed.where(F.col("i") + F.col("n") - 1 <= F.size("words"))
-    run = F.regexp_extract(F.array_join(F.slice("words", F.col("i"), F.col("n")), ""), CORE, 0)
-    start = F.col("base") + F.length(F.array_join(F.slice("words", F.lit(1), F.col("i") - 1), ""))
-    runs = placed.select("key", "row", start.alias("start"), run.alias("run"))
-    runs = runs.select("key", "row", "start", F.length("run").alias("chars"), _one_blank(F.col("run")).alias("value"))
+    runs = _runs(pieces, heads, max(sizes, default=1))
 
     # each copy of a row brings every length that was found at a place once
     best = F.max(F.struct("chars", "value", "score"))
-    found = runs.join(known, "value").groupBy("key", "row", "start").agg(
+    found = runs.join(known.drop("n"), "value").groupBy("key", "row", "start").agg(
         best.alias("best"), (F.count(F.lit(1)) / F.size(F.collect_set("chars"))).cast("long").alias("copies")
     )
     found = found.select(

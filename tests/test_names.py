@@ -77,3 +77,17 @@ def test_repeated_rows_null_keys_and_empty_tables(spark):
     assert {(r["doc_id"], r["value"], r["hits"]) for r in counted} == {
         (1, "Maria Rossi", 2), (1, "Maria", 1), (None, "Maria", 2),
     }
+
+
+def test_only_runs_behind_a_first_word_are_made(spark):
+    """Work follows the words that begin some name, not all words times all sizes."""
+    words = ["Anna", "de", "la", "Cruz", *["word"] * 59, "Anna"]
+    pieces = spark.createDataFrame(
+        [(1, 7, 10, len(words), [f"{w}, " for w in words] + ["de "])], "key int, row int, base int, own int, words array<string>"
+    )
+    heads = spark.createDataFrame([("Anna", [1, 2, 4]), ("Cruz", [3]), ("Zoe", [1])], "head string, sizes array<int>")
+    runs = names._runs(pieces, heads, 4).drop("key", "row").collect()
+    assert sorted(map(tuple, runs)) == [
+        (10, 4, "Anna"), (10, 8, "Anna, de"), (10, 18, "Anna, de, la, Cruz"), (24, 16, "Cruz, word, word"),
+        (10 + 6 + 4 + 4 + 6 + 59 * 6, 4, "Anna"), (10 + 6 + 4 + 4 + 6 + 59 * 6, 8, "Anna, de"),
+    ]
