@@ -5,7 +5,8 @@ times and severities, conversations the journals. Orders and events, of which th
 more, are dealt to the tickets by their keys, and each ticket takes the dearest order and
 the event of most value of its own. Only the tables whose columns are asked for are
 joined. All joins are left joins on unique keys, so the number of tickets does not depend
-on the columns.
+on the columns. Tickets that are to be put into pages are joined by page, so that their
+texts are exchanged once.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import format_gmt
 
 BASE_URL = "https://desk.example.com"
+PAGE_RECORDS = 200
 
 FROM_ORDERS = ("state", "priority", "cmdb_ci")
 FROM_EVENTS = ("impact", "urgency", "closed_at", "resolved_at", "sys_updated_on", "updated_at")
@@ -83,11 +85,11 @@ def _one_each(rows: DataFrame, key: str, weight: str, documents: Column) -> Data
     return rows.groupBy((F.col(key) % documents).alias("doc_id")).agg(best.alias("r"))
 
 
-def incidents(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] = ALL_COLUMNS
-) -> DataFrame:
-    """Flat ticket records with the columns asked for."""
-    doc_id, wanted = F.col("doc_id"), set(columns)
+def _parts(
+    spark: SparkSession, sf_dir: str, wanted: set[str]
+) -> tuple[DataFrame, list[DataFrame]]:
+    """What the documents give, and what the other tables give to some doc_id, a row for each."""
+    doc_id, parts = F.col("doc_id"), []
     documents = texts(spark, sf_dir)
     tickets = documents.agg(F.count(F.lit(1))).scalar()
     rows = documents.select(
@@ -102,7 +104,9 @@ def incidents(
         F.concat(F.lit("HD "), F.col("source")).alias("assignment_group_name"),
     )
     if wanted & set(FROM_ORDERS):
-        orders = _one_each(table(spark, sf_dir, "orders"), "o_orderkey", "o_totalprice", tickets)
+        used = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+        orders = table(spark, sf_dir, "orders").select(*used)
+        orders = _one_each(orders, "o_orderkey", "o_totalprice", tickets)
         orders = orders.select("doc_id", "r.*").select(
             "doc_id",
             F.when(F.col("o_orderstatus") == "F", "6")
@@ -112,10 +116,11 @@ def incidents(
             F.col("o_orderpriority").alias("priority"),
             F.concat(F.lit("ci"), (F.col("o_custkey") % 10).cast("string")).alias("cmdb_ci"),
         )
-        rows = rows.join(orders, "doc_id", "left")
+        parts.append(orders)
     if wanted & set(FROM_EVENTS):
         event_id, text = F.col("event_id"), format_gmt(F.col("ts"))
-        events = _one_each(table(spark, sf_dir, "events"), "event_id", "value", tickets)
+        events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+        events = _one_each(events, "event_id", "value", tickets)
         events = events.select("doc_id", "r.*").select(
             "doc_id",
             F.col("event_type").alias("impact"),
@@ -131,17 +136,45 @@ def incidents(
             text.alias("sys_updated_on"),
             F.col("ts").alias("updated_at"),
         )
-        rows = rows.join(events, "doc_id", "left")
+        parts.append(events)
     if wanted & set(FROM_CONVERSATIONS):
         conversations = table(spark, sf_dir, "conversations")
         count = conversations.agg(F.count_distinct("conv_id")).scalar()
         # journals go to the tickets' numbers, so that ticket texts are dealt once, by doc_id
         numbers = documents.select(doc_id, (doc_id % count).alias("journal_id")).distinct()
         journals = numbers.join(_journals(conversations), "journal_id").drop("journal_id")
-        rows = rows.join(journals, "doc_id", "left")
+        parts.append(journals)
+    return rows, parts
+
+
+def incidents(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = ALL_COLUMNS
+) -> DataFrame:
+    """Flat ticket records with the columns asked for."""
+    rows, parts = _parts(spark, sf_dir, set(columns))
+    for part in parts:
+        rows = rows.join(part, "doc_id", "left")
     return rows.select(*columns)
 
 
+def incidents_by_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat ticket records with all columns, and `page`, by which they are dealt.
+
+    What the other tables give comes as one map per page, of at most 200 tickets, so the
+    records are joined and then grouped by page in one exchange of the texts.
+    """
+    page = F.floor(F.col("doc_id") / PAGE_RECORDS).alias("page")
+    rows, parts = _parts(spark, sf_dir, set(ALL_COLUMNS))
+    rows = rows.select(page, "*")
+    for part in parts:
+        given = F.struct(*[c for c in part.columns if c != "doc_id"])
+        each = F.map_from_entries(F.collect_list(F.struct("doc_id", given))).alias("given")
+        held = part.where("doc_id IS NOT NULL").groupBy(page).agg(each)
+        own = F.try_element_at(F.col("given"), F.col("doc_id")).alias("own")
+        rows = rows.join(held, "page", "left").select(*rows.columns, own).select(*rows.columns, "own.*")
+    return rows.select("page", *ALL_COLUMNS)
+
+
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group dimension: one row per source of the documents."""
     return (

@@ -102,6 +102,42 @@ def test_delta_predicate_reaches_the_scan(spark, three_pages, tmp_path):
     assert numbers(chosen) == ["INC2", "INC3"]
 
 
+def test_landing_exchanges_nothing(spark, three_pages, tmp_path):
+    """Records are written by the tasks that read them; `gather` puts days together."""
+    flat = pages.flatten_cells(pages.read_pages(spark, three_pages)).repartition(3).localCheckpoint()
+    tracker, stages = spark.sparkContext.statusTracker(), {}
+    for gather in (False, True):
+        group, out = f"landing-{gather}", str(tmp_path / f"landed-{gather}")
+        spark.sparkContext.setJobGroup(group, "")
+        pages.land_records(flat, out, **({"gather": True} if gather else {}))
+        spark.sparkContext.setJobGroup("other", "")
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+        stages[gather] = len({s for job in jobs for s in job.stageIds})
+        assert numbers(pages.read_landed(spark, out)) == ["INC1", "INC2", "INC3"]
+    assert stages[False] == 1 < stages[True]
+
+
+def test_tickets_by_page_are_the_tickets_and_exchange_texts_once(spark):
+    from conftest import SMALL
+
+    from deskweave.plans import catalog, desk_tables
+
+    plain = desk_tables.incidents(spark, SMALL)
+    paged = desk_tables.incidents_by_page(spark, SMALL)
+    assert paged.where(F.col("page") != F.floor(F.col("doc_id") / 200)).isEmpty()
+    assert paged.drop("page").exceptAll(plain).isEmpty() and plain.exceptAll(paged.drop("page")).isEmpty()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.page_cells(spark, SMALL)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    nodes = [n for n in plan.split("\n\n") if ") Exchange\n" in n]
+    assert nodes and sum("description#" in n for n in nodes) == 1
+
+
 def test_other_table(spark, three_pages, tmp_path):
     out = str(tmp_path / "landed")
     pages.land_records(pages.flatten_cells(pages.read_pages(spark, three_pages)), out)
