@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import words
-from .once import with_columns_once
 from .schema import DEFAULT_DIMENSIONS, VECTOR_FIELD
 
 Embedder = Callable[[list[str]], list[list[float]]]
@@ -21,6 +23,10 @@ MAX_INPUT_TOKENS = 8_000
 MAX_INPUT_CHARS = 24_000
 ATTEMPTS = 4
 
+# Rows that the offline model counts at once, words whose hashes a task keeps.
+ROWS_AT_ONCE = 256
+KNOWN_WORDS = 200_000
+
 
 def embed_with(
     make_embedder: Callable[[], Embedder],
@@ -106,42 +112,48 @@ def hash_embed(
 ) -> DataFrame:
     """Offline model: hashed word counts of the whole text, scaled to length one.
 
-    Deterministic and JVM-side; words are hashed by MD5, so that any engine gives the same
-    vector. Use the same function for documents and queries, so that both live in one
-    vector space. Places are sorted and counted by their runs, so a text costs its words once.
+    Deterministic; words are hashed by MD5, so that any engine gives the same vector. Use the
+    same function for documents and queries, so that both live in one vector space. Spark
+    splits the texts; a task hashes each word of some rows once and counts places by numpy.
     """
-    place = F.transform(
-        words(F.col(column)),
-        lambda w: (F.conv(F.substring(F.md5(w), 1, 6), 16, 10).cast("int") % dimensions),
-    )
-    counted = with_columns_once(documents, {"_places": F.sort_array(place)})
-    last = F.filter(
-        F.sequence(F.lit(1), F.size("_places")),
-        lambda k: (k == F.size("_places")) | (F.get("_places", k) != F.get("_places", k - 1)),
-    )
-    some = F.size("_places") > 0
-    counted = with_columns_once(counted, {"_last": F.when(some, last).otherwise(F.array().cast("array<int>"))})
-    # each run as (place, words, place of the run before)
-    before = F.transform(
-        "_last",
-        lambda k, j: F.struct(
-            F.get("_places", k - 1).alias("place"),
-            (k - F.coalesce(F.get("_last", j - 1), F.lit(0))).cast("double").alias("n"),
-            F.coalesce(F.get("_places", F.get("_last", j - 1) - 1), F.lit(-1)).alias("earlier"),
-        ),
-    )
-    counted = with_columns_once(counted, {"_runs": before})
-    squares = F.aggregate("_runs", F.lit(0.0), lambda total, r: total + r["n"] * r["n"])
-    counted = with_columns_once(counted, {"_length": F.sqrt(squares)})
-    filled = F.transform(
-        "_runs",
-        lambda r: F.concat(
-            F.array_repeat(F.lit(0.0), r["place"] - r["earlier"] - 1), F.array(r["n"] / F.col("_length"))
-        ),
+
+    @F.arrow_udf(f"array<{element}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        places: dict[str, int] = {}
+        kind = pa.list_(pa.float32() if element == "float" else pa.float64())
+        for batch in batches:
+            parts = [
+                _hash_vectors(batch.slice(at, ROWS_AT_ONCE), dimensions, places).cast(kind)
+                for at in range(0, len(batch), ROWS_AT_ONCE)
+            ]
+            yield pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+    return documents.withColumn(VECTOR_FIELD, run.asNondeterministic()(words(F.col(column))))
+
+
+def _hash_vectors(texts: pa.Array, dimensions: int, places: dict[str, int]) -> pa.Array:
+    """A vector of doubles per list of words, null for an empty one; `places` are known hashes."""
+    coded = pc.list_flatten(texts).dictionary_encode()
+    if len(places) > KNOWN_WORDS:
+        places.clear()
+    place = np.empty(len(coded.dictionary), np.int64)
+    for i, word in enumerate(coded.dictionary.to_pylist()):
+        found = places.get(word)
+        if found is None:
+            digest = md5(word.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+            found = places[word] = int.from_bytes(digest[:3], "big") % dimensions
+        place[i] = found
+    lengths = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), lengths)
+    at = row * dimensions + place[coded.indices.to_numpy(zero_copy_only=False)]
+    counts = np.bincount(at, minlength=len(texts) * dimensions).reshape(len(texts), dimensions)
+    some = lengths > 0
+    kept = counts[some].astype(np.float64)
+    kept /= np.sqrt((kept * kept).sum(axis=1))[:, None]
+    ends = np.concatenate(([0], np.cumsum(some))) * dimensions
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(kept.ravel()), mask=pa.array(~some)
     )
-    rest = F.array_repeat(F.lit(0.0), F.lit(dimensions - 1) - F.element_at("_runs", -1)["place"])
-    vector = F.when(some, F.concat(F.flatten(filled), rest).cast(f"array<{element}>"))
-    return with_columns_once(counted, {VECTOR_FIELD: vector}).drop("_places", "_last", "_runs", "_length")
 
 
 def check_vectors(

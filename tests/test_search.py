@@ -124,6 +124,43 @@ def test_hash_vectors(spark):
     assert got["c"] is None and got["d"] is None
 
 
+def test_hash_vectors_like_a_plain_count(spark, monkeypatch):
+    """More rows than are counted at once, words beyond those whose hashes are kept."""
+    import hashlib
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [[f"w{n}é" for n in rng.integers(0, 40, rng.integers(0, 9))] for _ in range(600)]
+
+    def plain(words, dimensions):
+        counts = np.zeros(dimensions)
+        for w in words:
+            counts[int(hashlib.md5(w.encode()).hexdigest()[:6], 16) % dimensions] += 1
+        return (counts / np.sqrt((counts * counts).sum())).tolist() if words else None
+
+    rows = spark.createDataFrame([(i, " ,".join(t)) for i, t in enumerate(texts)], "id int, content string")
+    got = {r["id"]: r["contentVector"] for r in embedding.hash_embed(rows, "content", 24, "double").collect()}
+    assert got == {i: plain(t, 24) for i, t in enumerate(texts)}
+    monkeypatch.setattr(embedding, "KNOWN_WORDS", 5)
+    known = {}
+    for _ in range(2):
+        assert embedding._hash_vectors(pa.array(texts), 24, known).to_pylist() == [plain(t, 24) for t in texts]
+    assert len(known) <= 40
+
+
+def test_vector_search_stores_no_texts(spark):
+    from pathlib import Path
+
+    from conftest import SMALL
+    from deskweave.plans import catalog
+    from deskweave.sources.space import shared_dir
+
+    held = set(Path(shared_dir(spark)).glob("deskweave/*"))
+    assert catalog.vector_text_topk(spark, SMALL).count() == 10
+    assert set(Path(shared_dir(spark)).glob("deskweave/*")) == held
+
+
 def test_text_query_uses_the_document_space(docs):
     def embed(df, column):
         return embedding.hash_embed(df, column, 64)
