@@ -32,7 +32,8 @@ from .search import DIGITS, TOP
 
 BLOCK_QUERIES = 2_048  # queries sent to all tasks at once, and
 BLOCK_BYTES = 32 * 2**20  # their size
-ROWS_AT_ONCE = 1_024  # rows multiplied at once
+ROWS_AT_ONCE = 1_024  # rows multiplied at once, and
+SCORES_AT_ONCE = 2**18  # scores, so that more queries make fewer rows
 SAMPLE_ROWS = 20_000  # on which centres are fitted
 MAX_CELLS = 1_024
 SLICE_ROWS, PART_QUERIES = 8_192, 4_096  # of a cell that meet in one task
@@ -93,9 +94,10 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 
 def _compare(held: _Best, keys: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> None:
-    for at in range(0, len(rows), ROWS_AT_ONCE):
-        scores = np.round(rows[at : at + ROWS_AT_ONCE] @ wanted.T, DIGITS) + 0.0
-        held.add(scores, keys[at : at + ROWS_AT_ONCE])
+    step = max(1, min(ROWS_AT_ONCE, SCORES_AT_ONCE // max(1, len(wanted))))
+    for at in range(0, len(rows), step):
+        scores = np.round(rows[at : at + step] @ wanted.T, DIGITS) + 0.0
+        held.add(scores, keys[at : at + step])
 
 
 def nearest_batch(
@@ -140,10 +142,12 @@ def _block(rows: DataFrame, wanted: np.ndarray, names: pa.Array, k: int, schema:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, kind = _Best(len(wanted), k), None
         for batch in batches:
-            units, own = _units(batch.column(1), wanted.shape[1])
             kind = batch.column(0).type
-            if len(own) and len(wanted):
-                _compare(held, _keys(batch.column(0).take(pa.array(own))), units, wanted)
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                keys, column = batch.column(0).slice(at, ROWS_AT_ONCE), batch.column(1).slice(at, ROWS_AT_ONCE)
+                units, own = _units(column, wanted.shape[1])
+                if len(own) and len(wanted):
+                    _compare(held, _keys(keys.take(pa.array(own))), units, wanted)
         if held.key is not None:
             yield pa.record_batch(
                 [names.take(pa.array(held.query)), pa.array(held.key).cast(kind), pa.array(held.score)],

@@ -92,3 +92,22 @@ def test_few_cells_where_vectors_cluster():
     rows = np.repeat(centres, 50, axis=0) + 0.02 * rng.normal(size=(1000, 20))
     rows = rng.permutation(rows / np.linalg.norm(rows, axis=1, keepdims=True))
     assert vector_index.cells_needed(rows, centres, 5, 0.95) == 1
+
+
+def test_memory_does_not_follow_the_queries():
+    """Scores of many queries are held for fewer rows at once; the result is the same."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    rows, wanted = rng.normal(size=(2048, 8)), rng.normal(size=(2048, 8))
+    rows, wanted = (x / np.linalg.norm(x, axis=1)[:, None] for x in (rows, wanted))
+    held = vector_index._Best(len(wanted), 3)
+    tracemalloc.start()
+    vector_index._compare(held, np.arange(len(rows)), rows, wanted)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    scores = np.round(rows @ wanted.T, vector_index.DIGITS) + 0.0
+    best = np.lexsort((np.broadcast_to(np.arange(2048)[:, None], scores.shape), -scores), axis=0)[:3]
+    order = np.lexsort((held.key, -held.score, held.query))
+    assert (held.key[order].reshape(-1, 3) == best.T).all()
