@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.space import hadoop_path
+from ..sources.space import hadoop_path, stored
 from .documents import RECORD_KEY
 from .schema import UPDATED, evolved_schema
 
@@ -292,20 +292,28 @@ class Corpus:
         """The newest version of each key in these folders.
 
         An upsert supplies all columns that earlier ones supplied, or is merged at once, so
-        the newest version has all values that are known.
+        the newest version has all values that are known. Whole rows are not exchanged to find it:
+        which versions are outdated follows from keys and times, and these are left out of the files.
         """
-        columns = columns or schema.names
+        whole, columns = not columns, columns or schema.names
         single = [(b, p[0]) for b, p in parts.items() if len(p) == 1]
         found = [] if parts and not single else [self._files(schema, single).select(*columns)]
-        versions = sorted({v for p in parts.values() if len(p) > 1 for v in p})
-        several = [
-            self._files(schema, [(b, v) for b, p in parts.items() if len(p) > 1 and v in p]).select(
-                *columns, F.col("id").alias(_KEY), F.col(UPDATED).alias(_TIME), F.lit(v).alias(_SEQ)
-            )
-            for v in versions
-        ]
-        if several:
-            order = [F.col(_TIME).desc_nulls_last(), F.col(_SEQ).desc()]
+        files = {
+            v: self._files(schema, [(b, v) for b, p in parts.items() if len(p) > 1 and v in p])
+            for v in sorted({v for p in parts.values() if len(p) > 1 for v in p})
+        }
+        order = [F.col(_TIME).desc_nulls_last(), F.col(_SEQ).desc()]
+        marks = [F.col("id").alias(_KEY), F.col(UPDATED).alias(_TIME)]
+        if files and whole:
+            narrow = [rows.select(*marks, F.lit(v).alias(_SEQ)) for v, rows in files.items()]
+            first = F.first(_SEQ).over(Window.partitionBy(_KEY).orderBy(*order))
+            ranked = reduce(DataFrame.unionByName, narrow).withColumn("_first", first)
+            outdated = stored(ranked.where(F.col(_SEQ) != F.col("_first")).select(_KEY, _SEQ), "outdated")
+            for v, rows in files.items():
+                own = outdated.where(F.col(_SEQ) == v).select(_KEY)
+                found.append(rows.join(own, F.col("id").eqNullSafe(F.col(_KEY)), "left_anti"))
+        elif files:
+            several = [rows.select(*columns, *marks, F.lit(v).alias(_SEQ)) for v, rows in files.items()]
             newest = latest_per_key(reduce(DataFrame.unionByName, several), _KEY, order)
             found.append(newest.drop(_KEY, _TIME, _SEQ))
         return reduce(DataFrame.unionByName, found)
