@@ -377,3 +377,58 @@ def test_quarantine_of_a_stream(spark, tmp_path):
     tickets(spark, ticket("C", T2)).select(*RECORD_SCHEMA.names).write.mode("append").parquet(landed)
     run()
     assert keys(corpus) == ["A", "B", "C"] and _held(quarantine) == []
+
+
+def test_only_repeated_keys_are_exchanged(spark):
+    from deskweave.plans.ingest import newest_records
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    once = tickets(spark, ticket("A", T1), ticket("B", T2), ticket("C", None))
+    found = newest_records(once, Options())
+    assert "Exchange" not in plan(found) and found.count() == 3
+    several = once.unionByName(tickets(spark, ticket("A", T3), ticket("C", T1), ticket("C", T2)))
+    newest = newest_records(several, Options())
+    got = sorted((r["_key"], r["sys_updated_on"]) for r in newest.collect())
+    assert got == [("A", T3), ("B", T2), ("C", T2)]
+
+
+def test_counters_with_repeated_keys(spark, home):
+    corpus, marks = home
+    blank = {f.name: None for f in RECORD_SCHEMA.fields[:-1]}
+    rows = tickets(spark, ticket("A", T1), ticket("A", T2), ticket("B", None), {**blank, "state": "7"})
+    stats = run_ingest(rows, corpus, marks)
+    assert (stats.read, stats.written, stats.skipped_empty, stats.undated) == (4, 2, 1, 2)
+    assert marks.read() == T2 and keys(corpus) == ["A", "B"]
+
+
+def test_held_records_are_written_once(spark, home, tmp_path):
+    """A first failure makes one snapshot, a run that lets go two, one without any none."""
+    corpus, marks = home
+    quarantine = Quarantine(spark, str(tmp_path / "held"))
+
+    def run(bad, *rows):
+        def mask(df):
+            return masking._masked(df, "content", F.array(), ~F.col("number").isin(bad))
+
+        chosen = Options(base_url=BASE, mask=mask, quarantine=quarantine, on_mask_failure="quarantine")
+        run_ingest(tickets(spark, *rows), corpus, marks, chosen, full=True)
+        return quarantine._snapshots()
+
+    assert run(["A"], ticket("A", T1), ticket("B", T1)) == [1]
+    assert _held(quarantine) == [("A", 1)] and keys(corpus) == ["B"]
+    assert run([], ticket("B", T1)) == [1, 2, 3]
+    assert _held(quarantine) == [] and keys(corpus) == ["A", "B"]
+    assert run([], ticket("C", T1)) == [1, 2, 3]
+
+
+def test_second_delivery_comes_from_the_first(spark, monkeypatch):
+    from conftest import SMALL
+    from deskweave.plans import catalog
+
+    read = []
+    real = catalog._redelivered
+    monkeypatch.setattr(catalog, "_redelivered", lambda rows: read.extend(rows.inputFiles()) or real(rows))
+    assert catalog.stream_restart_state(spark, SMALL).count() > 0
+    assert read and all("/first/" in f for f in read)
