@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .components import components
-from .near_text import near_groups
+from .near_text import SLACK, near_groups
 
 SHINGLE = 4
 SEED = 42
@@ -94,8 +94,20 @@ def _flips(bits: int, most: int) -> np.ndarray:
 def _write_out(low: np.ndarray, left: np.ndarray, bits: int, members: np.ndarray, first: np.ndarray):
     """Stars (centre, member) of the variants that several members have.
 
+    Members with `first` come first in their variant and become its centre.
+    """
+    for key, owner in _variants(low, left, bits, members, first):
+        same = np.concatenate(([False], key[1:] == key[:-1]))
+        centre = owner[np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))]
+        pairs = np.unique(np.stack([centre[same], owner[same]], axis=1), axis=0)
+        yield pairs[pairs[:, 0] != pairs[:, 1]]
+
+
+def _variants(low: np.ndarray, left: np.ndarray, bits: int, members: np.ndarray, first: np.ndarray):
+    """Sorted variants and the member each belongs to, in parts; equal ones are in one part.
+
     `low` are the last `bits` bits of the members' fingerprints, `left` the flips each may
-    still make there. Members with `first` come first in their variant and become its centre.
+    still make there. Members with `first` come first in their variant.
     """
     sizes = np.array([1, 1 + bits, 1 + bits + bits * (bits - 1) // 2])
     if len(low) < 2:
@@ -105,7 +117,7 @@ def _write_out(low: np.ndarray, left: np.ndarray, bits: int, members: np.ndarray
         for part in range(16):
             after = left - np.bitwise_count(top ^ np.uint64(part)).astype(np.int64)
             here = after >= 0
-            yield from _write_out(rest[here], after[here], bits - 4, members[here], first[here])
+            yield from _variants(rest[here], after[here], bits - 4, members[here], first[here])
         return
     keys, owners = [], []
     for radius in range(3):
@@ -117,11 +129,7 @@ def _write_out(low: np.ndarray, left: np.ndarray, bits: int, members: np.ndarray
     key = (np.concatenate(keys) << np.uint64(1)) | later.astype(np.uint64)
     owner = np.concatenate(owners)
     order = np.argsort(key)
-    key, owner = key[order] >> np.uint64(1), owner[order]
-    same = np.concatenate(([False], key[1:] == key[:-1]))
-    centre = owner[np.maximum.accumulate(np.where(same, 0, np.arange(len(key))))]
-    pairs = np.unique(np.stack([centre[same], owner[same]], axis=1), axis=0)
-    yield pairs[pairs[:, 0] != pairs[:, 1]]
+    yield key[order] >> np.uint64(1), owner[order]
 
 
 def _forest(pairs: np.ndarray, size: int) -> np.ndarray:
@@ -163,17 +171,48 @@ def link_prefix(prefix: int, fps: np.ndarray, prefix_bits: int = PREFIX_BITS) ->
     return np.stack([fps[linked], fps[root[linked]]], axis=1)
 
 
-def links(fps: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints of `fp` within the radius."""
+def pairs_prefix(
+    prefix: int, fps: np.ndarray, groups: np.ndarray, prefix_bits: int = PREFIX_BITS
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b) of all rows (fingerprint, group) dealt to one prefix that lie within the radius
+    in different groups, in parts of bounded size; a pair may come more than once.
+
+    Rows of one group are never paired, so a large group costs its size and not its square.
+    """
+    bits = 64 - prefix_bits
+    away = np.bitwise_count((fps >> np.uint64(bits)) ^ np.uint64(prefix)).astype(np.int64)
+    low = fps & np.uint64((1 << bits) - 1)
+    for key, owner in _variants(low, RADIUS // 2 - away, bits, np.arange(len(fps)), away == 0):
+        order = np.lexsort((groups[owner], key))
+        key, owner = key[order], owner[order]
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        apart = new | np.concatenate(([True], groups[owner][1:] != groups[owner][:-1]))
+        # each row meets the rows of its variant behind its own group
+        ends = np.append(np.flatnonzero(new)[1:], len(key))[np.cumsum(new) - 1]
+        behind = np.append(np.flatnonzero(apart)[1:], len(key))[np.cumsum(apart) - 1]
+        count = ends - behind
+        rows = np.flatnonzero(count)
+        total = np.cumsum(count[rows])
+        at = 0
+        while at < len(rows):
+            stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PART, "right")))
+            some = rows[at:stop]
+            shift = np.arange(count[some].sum()) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+            a, b = np.repeat(owner[some], count[some]), owner[np.repeat(behind[some], count[some]) + shift]
+            far = np.bitwise_count((fps[a] ^ fps[b]) >> np.uint64(bits)) > RADIUS // 2
+            kept = far | (away[a] == 0) | (away[b] == 0)
+            pairs = np.unique(np.stack([a[kept], b[kept]], axis=1), axis=0)
+            yield pairs[:, 0], pairs[:, 1]
+            at = stop
+
+
+def _by_prefix(rows: DataFrame, work, schema: str, prefix_bits: int) -> DataFrame:
+    """`work` (prefix, columns of numbers) on the `rows` (fp, ...) dealt to each prefix."""
     masks = (_flips(prefix_bits, RADIUS // 2) << np.uint64(64 - prefix_bits)).view(np.int64)
+    prefix = F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("mask")), 64 - prefix_bits)
     dealt = (
-        fps.select("fp")
-        .distinct()
-        .select("fp", F.explode(F.lit(masks.tolist())).alias("mask"))
-        .select(
-            F.shiftrightunsigned(F.col("fp").bitwiseXOR(F.col("mask")), 64 - prefix_bits).alias("prefix"),
-            "fp",
-        )
+        rows.select("*", F.explode(F.lit(masks.tolist())).alias("mask"))
+        .select(prefix.alias("prefix"), *rows.columns)
         .repartition("prefix")
         .sortWithinPartitions("prefix")
     )
@@ -182,10 +221,10 @@ def links(fps: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFrame:
         held, at = [], None
         for batch in batches:
             prefixes = batch.column(0).to_numpy()
-            fps = batch.column(1).to_numpy().view(np.uint64)
+            columns = np.stack([c.to_numpy() for c in batch.columns[1:]])
             cuts = np.flatnonzero(np.diff(prefixes)) + 1
-            for part, start in zip(np.split(fps, cuts), [0, *cuts], strict=True):
-                if len(part) and prefixes[start] != at:
+            for part, start in zip(np.split(columns, cuts, axis=1), [0, *cuts], strict=True):
+                if part.shape[1] and prefixes[start] != at:
                     yield from flush(at, held)
                     held, at = [], prefixes[start]
                 held.append(part)
@@ -193,10 +232,33 @@ def links(fps: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFrame:
 
     def flush(prefix, held) -> Iterator[pa.RecordBatch]:
         if held:
-            found = link_prefix(int(prefix), np.concatenate(held), prefix_bits).view(np.int64)
-            yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            for found in work(int(prefix), *np.concatenate(held, axis=1)):
+                yield pa.record_batch([pa.array(c) for c in found], names)
+
+    names = [c.split()[0] for c in schema.split(", ")]
+    return dealt.mapInArrow(run, schema)
+
+
+def links(fps: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFrame:
+    """Links (a, b) that connect all distinct fingerprints of `fp` within the radius."""
+
+    def work(prefix: int, own: np.ndarray) -> Iterator[np.ndarray]:
+        yield link_prefix(prefix, own.view(np.uint64), prefix_bits).view(np.int64).T
+
+    return _by_prefix(fps.select("fp").distinct(), work, "a long, b long", prefix_bits)
+
+
+def pairs_apart(rows: DataFrame, prefix_bits: int = PREFIX_BITS) -> DataFrame:
+    """All pairs (a_fp, a_group, b_fp, b_group) of distinct `rows` (fp, group) within the radius,
+    equal fingerprints too, that lie in different groups; once each, one way round."""
+
+    def work(prefix: int, own: np.ndarray, groups: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        for a, b in pairs_prefix(prefix, own.view(np.uint64), groups, prefix_bits):
+            low, high = np.where(groups[a] < groups[b], a, b), np.where(groups[a] < groups[b], b, a)
+            yield own[low], groups[low], own[high], groups[high]
 
-    return dealt.mapInArrow(run, "a long, b long")
+    schema = "a_fp long, a_group long, b_fp long, b_group long"
+    return _by_prefix(rows.select("fp", "group").distinct(), work, schema, prefix_bits).distinct()
 
 
 def near_duplicates(
@@ -231,15 +293,38 @@ def linked_texts(rows: DataFrame) -> DataFrame:
     `rows` (key, text): texts of one fingerprint one after the other, and a text of each of two
     linked fingerprints.
     """
-    fps = stored(with_fingerprint(rows.select("key", "text")).distinct(), "fingerprints")
-    before = F.lag("key").over(Window.partitionBy("fp").orderBy("key"))
-    alike = fps.select(before.alias("a"), F.col("key").alias("b")).where("a IS NOT NULL")
-    firsts = fps.groupBy("fp").agg(F.min("key").alias("first"))
-    pairs = links(fps)
-    for end in ("a", "b"):
-        named = firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_key"))
-        pairs = pairs.join(named, end)
-    return alike.unionByName(pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
+    return TextLinks().connecting(rows)
+
+
+class TextLinks:
+    """What operator 1 links, as pairs of texts: first those that connect all (`connecting`), and,
+    as such a pair may fail its verification where others of its texts would pass, all those
+    that lie in different groups still (`apart`)."""
+
+    def connecting(self, rows: DataFrame) -> DataFrame:
+        """Pairs (a, b) of text hashes out of `rows` (key, text), see `linked_texts`."""
+        fps = stored(with_fingerprint(rows.select("key", "text")).distinct(), "fingerprints")
+        self.fps = fps
+        before = F.lag("key").over(Window.partitionBy("fp").orderBy("key"))
+        alike = fps.select(before.alias("a"), F.col("key").alias("b")).where("a IS NOT NULL")
+        firsts = fps.groupBy("fp").agg(F.min("key").alias("first"))
+        pairs = links(fps)
+        for end in ("a", "b"):
+            named = firsts.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_key"))
+            pairs = pairs.join(named, end)
+        return alike.unionByName(pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
+
+    def apart(self, grouped: DataFrame, similarity: float) -> DataFrame:
+        """All pairs (a, b) of nodes of different groups that operator 1 links, out of `grouped`
+        (key, node, size, root); without those whose sizes rule the similarity out."""
+        placed = self.fps.join(grouped, "key")
+        placed = placed.select("fp", F.col("root").alias("group"), "node", "size").distinct()
+        pairs = pairs_apart(placed)
+        for end in ("a", "b"):
+            pairs = pairs.join(placed.toDF(*[f"{end}_{c}" for c in placed.columns]), [f"{end}_fp", f"{end}_group"])
+        near = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * (similarity - SLACK)
+        ends = (f("a_node", "b_node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b")))
+        return pairs.where(near).select(*ends).distinct()
 
 
 def deduplicate(
@@ -251,13 +336,14 @@ def deduplicate(
 ) -> DataFrame:
     """One document of each group of near-duplicates, in the columns of `docs`.
 
-    What operator 1 links is verified: documents are linked if the sets of their word shingles
+    Every pair that operator 1 links is verified, or lies in one group already: documents are linked if the sets of their word shingles
     have at least this Jaccard similarity. Such documents whose fingerprints differ in more bits
     than operator 1 allows are found beside it (see `near_text`).
     The document with the smallest id stays (null last, then by text hash); of repeated rows
     one stays.
     """
-    found = near_groups(docs, doc_id, text, shingle, similarity, linked_texts)
+    linked = TextLinks()
+    found = near_groups(docs, doc_id, text, shingle, similarity, linked.connecting, linked.apart)
     by_id = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     kept = found.groupBy("group").agg(F.min(by_id).alias("k")).select("k.*")
     rows = docs.select(

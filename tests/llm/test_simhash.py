@@ -111,3 +111,40 @@ def test_clashing_columns_and_empty_table(spark, make_docs):
     assert kept.columns == more.columns and kept.count() == 1
     assert simhash.near_duplicates(docs.where("false")).count() == 0
     assert simhash.deduplicate(docs.where("false")).count() == 0
+
+
+def test_pairs_apart_are_all_pairs_within_the_radius(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = set()
+    for centre in rng.integers(0, 2**64, 6, dtype=np.uint64):
+        for _ in range(9):
+            flips = rng.choice(64, rng.integers(0, 6), replace=False)
+            fp = int(centre) ^ sum(1 << int(b) for b in flips)
+            rows |= {(fp, int(g)) for g in rng.integers(0, 4, 2)}
+    signed = [(fp - 2**64 if fp >= 2**63 else fp, g) for fp, g in rows]
+    want = {
+        (*a, *b)
+        for a in signed
+        for b in signed
+        if a[1] < b[1] and ((a[0] ^ b[0]) % 2**64).bit_count() <= 4
+    }
+    got = simhash.pairs_apart(spark.createDataFrame(signed, "fp long, group long"), 8).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    own = np.array([fp for fp, _ in rows], np.uint64)
+    groups = np.array([g for _, g in rows])
+    whole = simhash.pairs_prefix(int(own[0] >> np.uint64(56)), own[:1].repeat(4), np.arange(4), 8)
+    assert sorted((min(p), max(p)) for a, b in whole for p in zip(a, b)) == [(i, j) for i in range(4) for j in range(i + 1, 4)]
+
+
+def test_texts_linked_by_operator_1_are_verified_in_all_pairs(spark, make_docs, monkeypatch):
+    """Whatever connects groups, texts that operator 1 links and that lie apart are verified."""
+    from deskweave.llm import near_text
+
+    base = " ".join(f"word{i}" for i in range(900))
+    docs = make_docs([(1, base), (2, "entirely other words"), (3, base + " more")])
+    none = spark.createDataFrame([], "a long, b long, alike double")
+    monkeypatch.setattr(near_text, "_offers", lambda nodes, similarity: near_text.stored(none, "offers"))
+    monkeypatch.setattr(simhash, "links", lambda fps: spark.createDataFrame([], "a long, b long"))
+    kept = sorted(r["doc_id"] for r in simhash.deduplicate(docs).collect())
+    distance = (simhash.fingerprint(base) ^ simhash.fingerprint(base + " more")).bit_count()
+    assert distance <= 4 and kept == [1, 2]
