@@ -267,7 +267,7 @@ class Corpus:
         last = self._last()
         if last is None:
             raise FileNotFoundError(f"no corpus at {self.path}")
-        return self._read(last[1], columns=columns)
+        return self._read(last[1], columns=columns or self._schema_of(last[1]).names)
 
     def bucket_versions(self) -> dict[int, int]:
         """The version in which each bucket was written last; buckets without rows are left out."""
